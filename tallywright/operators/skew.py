@@ -140,8 +140,8 @@ def lay_out(
         return OrderedRows(df.withColumn("_chunk", F.lit(0)), key, order, split=False)
 
     hot_keys = [row[key] for row in hot_list if row[key] is not None]
-    is_hot = F.col(key).isin(hot_keys) if hot_keys else F.lit(False)
-    is_hot = F.coalesce(is_hot, F.lit(len(hot_keys) < len(hot_list)))
+    null_is_hot = len(hot_keys) < len(hot_list)
+    is_hot = F.when(F.col(key).isNull(), null_is_hot).otherwise(F.col(key).isin(hot_keys))
     chunks = ceil(sum(row["_rows"] for row in hot_list) / policy.rows_per_task) + 1
     hot = written(
         df.filter(is_hot)

@@ -137,7 +137,7 @@ FROM valid""",
     "customer_zscore": f"""
 WITH {PROFILED}
 SELECT transaction_id, customer_id, amount,
-       round((amount - cust_avg_amount) / nullif(cust_std_amount, 0), 4) AS amount_zscore
+       round((amount - cust_avg_amount) / nullif(cust_std_amount, 0), 4) + 0.0::DOUBLE AS amount_zscore
 FROM profiled""",
     "fraud_flags": f"""
 WITH {FLAGGED}

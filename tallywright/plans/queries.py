@@ -122,7 +122,8 @@ def customer_zscore(spark: SparkSession, sf: str) -> DataFrame:
     out = with_zscore(with_profile(_valid(spark, sf))).select(
         "transaction_id", "customer_id", "amount", "amount_zscore"
     )
-    return _rounded(out, 4, "amount_zscore")
+    # Adding zero turns a rounded -0.0 into 0.0.
+    return out.withColumn("amount_zscore", F.round("amount_zscore", 4) + F.lit(0.0))
 
 
 def fraud_flags(spark: SparkSession, sf: str) -> DataFrame:
