@@ -57,14 +57,19 @@ def create_table(
     spark.sql(" ".join(c for c in clauses if c))
 
 
-def spread_for_write(df: DataFrame, *partition_by: str) -> DataFrame:
+def spread_for_write(
+    df: DataFrame, partition_by: Sequence[str], tasks: int | None = None
+) -> DataFrame:
     """Gather rows of one partition value, but not in one task.
 
     A plain ``repartition(column)`` sends all rows of a value to a single writer.
     Rebalancing hashes in the same way and lets adaptive execution cut large
     partitions and merge small ones, so a date that holds a third of the table is
-    written by many tasks.
+    written by many tasks. Where many tiny partitions are written, the time goes
+    into opening files and not into rows; ``tasks`` then fixes the writers.
     """
+    if tasks:
+        return df.repartition(tasks, *partition_by)
     return df.hint("rebalance", *partition_by)
 
 
@@ -77,7 +82,7 @@ def overwrite_partitions(
         df.writeTo(identifier).option("check-ordering", "false").overwritePartitions()
         return
     by_name = df.select(*spark.table(identifier).columns)
-    writer = spread_for_write(by_name, *partition_by).write.mode("overwrite")
+    writer = spread_for_write(by_name, partition_by).write.mode("overwrite")
     # insertInto takes the mode from the session only, not from an option.
     before = spark.conf.get(OVERWRITE_MODE)
     spark.conf.set(OVERWRITE_MODE, "dynamic")
@@ -87,10 +92,12 @@ def overwrite_partitions(
         spark.conf.set(OVERWRITE_MODE, before)
 
 
-def overwrite_partition_files(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+def overwrite_partition_files(
+    df: DataFrame, path: str, partition_by: Sequence[str], tasks: int | None = None
+) -> None:
     """The same on a folder of Parquet files without a catalog."""
     (
-        spread_for_write(df, *partition_by)
+        spread_for_write(df, partition_by, tasks)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", COMPRESSION)

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallywright.operators.quality import has_key
+
 
 def keep_latest(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> DataFrame:
     """One row per key, the last by ``latest_by``.
@@ -37,7 +39,7 @@ def silver_clean(
     ``codes`` are trimmed and upper-cased; ``types`` gives target types by column.
     Ties on ``latest_by`` are broken by all other columns.
     """
-    cleaned = df.dropna(subset=list(keys))
+    cleaned = df.filter(has_key(keys))
     if valid is not None:
         cleaned = cleaned.filter(valid)
     changed = {c: F.upper(F.trim(c)) for c in codes}
@@ -59,6 +61,12 @@ def as_of(
     return keep_latest(known, [key], [at, *tie_break])
 
 
+def period_of(at: str, grain: str) -> Column:
+    """First day of the period; works on the date, so no time zone is involved."""
+    day = F.to_date(F.col(at))
+    return day if grain == "day" else F.trunc(day, grain)
+
+
 def bars(
     ticks: DataFrame, symbol: str, price: str, at: str, tie_break: str, grain: str = "day"
 ) -> DataFrame:
@@ -68,7 +76,7 @@ def bars(
     """
     when = F.struct(at, tie_break)
     return ticks.groupBy(
-        F.date_trunc(grain, F.col(at)).cast("date").alias("period"), F.col(symbol).alias("symbol")
+        period_of(at, grain).alias("period"), F.col(symbol).alias("symbol")
     ).agg(
         F.min_by(price, when).alias("open"),
         F.max(price).alias("high"),
@@ -84,7 +92,7 @@ def sector_prices(
 ) -> DataFrame:
     """The price of a sector in a period: its summed amount."""
     return rows.groupBy(
-        F.date_trunc(grain, F.col(at)).cast("date").alias("period"), F.col(sector).alias("sector")
+        period_of(at, grain).alias("period"), F.col(sector).alias("sector")
     ).agg(F.round(F.sum(price), 2).alias("close"))
 
 

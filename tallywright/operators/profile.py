@@ -31,13 +31,10 @@ def profile_table(valid: DataFrame) -> DataFrame:
     )
 
 
-def with_profile(valid: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """Mean and deviation over all rows of the customer, on every row.
-
-    Equal to ``avg(..) over (partition by customer_id)``, without gathering a
-    customer's rows in one task.
-    """
-    profile = written(profile_table(valid), "profile")
+def attach_profile(
+    valid: DataFrame, profile: DataFrame, policy: SkewPolicy = DEFAULT_POLICY
+) -> DataFrame:
+    """Mean and deviation of a written profile table on every row."""
     return join_per_key(
         valid,
         profile,
@@ -49,6 +46,15 @@ def with_profile(valid: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataF
     )
 
 
+def with_profile(valid: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+    """Mean and deviation over all rows of the customer, on every row.
+
+    Equal to ``avg(..) over (partition by customer_id)``, without gathering a
+    customer's rows in one task.
+    """
+    return attach_profile(valid, written(profile_table(valid), "profile"), policy)
+
+
 def with_zscore(profiled: DataFrame) -> DataFrame:
     """Distance from the customer's mean in deviations; NULL where there is no spread."""
     return profiled.withColumn(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -38,26 +39,29 @@ def _is_nan(df: DataFrame, column: str) -> Column:
 
 def gate_counts(df: DataFrame, amount: str = "amount") -> DataFrame:
     """One row with all, accepted, rejected and unclassified rows, in one pass."""
+    return df.agg(*_gate_measures(df, amount))
+
+
+def _gate_measures(df: DataFrame, amount: str) -> list[Column]:
     value = F.col(amount)
-    return df.agg(
+    return [
         F.count(F.lit(1)).alias("input_rows"),
         F.count_if(value > 0).alias("accepted_rows"),
         F.count_if(value <= 0).alias("rejected_rows"),
         F.count_if(value.isNull() | _is_nan(df, amount)).alias("unclassified_rows"),
-    )
+    ]
 
 
 def accepted_observed(
     df: DataFrame, observation: Observation, amount: str = "amount"
 ) -> DataFrame:
     """The accepted rows; the action that reads them also fills ``observation``."""
-    value = F.col(amount)
-    counted = df.observe(
-        observation,
-        F.count_if(value > 0).alias("accepted_rows"),
-        F.count_if(value <= 0).alias("rejected_rows"),
-    )
-    return accepted(counted, amount)
+    return accepted(df.observe(observation, *_gate_measures(df, amount)), amount)
+
+
+def has_key(columns: Sequence[str]) -> Column:
+    """No part of the key is NULL; written so that the scan can use it."""
+    return reduce(and_, [F.col(c).isNotNull() for c in columns])
 
 
 @dataclass(frozen=True)
@@ -114,7 +118,7 @@ def check(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
         )
         parts.append(totals.select(F.inline(results)))
     for e in (e for e in expectations if e.unique):
-        keyed = df.dropna(subset=list(e.unique))
+        keyed = df.filter(has_key(e.unique))
         per_key = keyed.groupBy(*e.unique).agg(F.count(F.lit(1)).alias("_rows"))
         parts.append(
             per_key.agg(

@@ -56,10 +56,18 @@ def status_counts(compared: DataFrame) -> DataFrame:
 
 
 def row_differences(batch: DataFrame, stream: DataFrame) -> DataFrame:
-    """Rows that one side has more often than the other, in both directions."""
-    stream = stream.select(*batch.columns)
-    return (
-        batch.exceptAll(stream)
-        .withColumn("side", F.lit("only_batch"))
-        .unionByName(stream.exceptAll(batch).withColumn("side", F.lit("only_stream")))
+    """Rows that one side has more often than the other, and how many times more.
+
+    Both directions of EXCEPT ALL in one aggregation: batch rows count up, stream
+    rows down, and what does not cancel is left over. Copies combine before the
+    shuffle and stay one row with a number.
+    """
+    both = batch.withColumn("_balance", F.lit(1)).unionByName(
+        stream.select(*batch.columns).withColumn("_balance", F.lit(-1))
+    )
+    left_over = both.groupBy(*batch.columns).agg(F.sum("_balance").alias("_balance"))
+    return left_over.filter(F.col("_balance") != 0).select(
+        *batch.columns,
+        F.when(F.col("_balance") > 0, "only_batch").otherwise("only_stream").alias("side"),
+        F.abs("_balance").alias("copies"),
     )

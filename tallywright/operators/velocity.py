@@ -19,9 +19,11 @@ ORDER = ("timestamp", "transaction_id")
 KEY = "customer_id"
 
 
-def with_previous_amounts(df: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+def with_previous_amounts(
+    df: DataFrame, policy: SkewPolicy = DEFAULT_POLICY, counts: DataFrame | None = None
+) -> DataFrame:
     """The customer's last two amounts before each row, by time and then id."""
-    laid = lay_out(df, KEY, ORDER, policy)
+    laid = lay_out(df, KEY, ORDER, policy, counts)
     w = W.partitionBy(KEY, "_chunk").orderBy(*laid.order)
     rows = laid.rows.withColumn("prev_amount_1", F.lag("amount", 1).over(w)).withColumn(
         "prev_amount_2", F.lag("amount", 2).over(w)

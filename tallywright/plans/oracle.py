@@ -173,6 +173,7 @@ FROM flagged WHERE is_fraudulent ORDER BY transaction_id LIMIT 10""",
     "category_share": f"""
 WITH {VALID}
 SELECT merchant_category, count(transaction_id) AS tx_count, round(sum(amount), 2) AS volume,
+       round(count(transaction_id) / sum(count(transaction_id)) OVER () * 100, 4) AS tx_share,
        round(sum(amount) / sum(sum(amount)) OVER () * 100, 4) AS volume_share
 FROM valid GROUP BY merchant_category ORDER BY volume DESC, merchant_category""",
     "velocity_lag": f"""
@@ -290,5 +291,5 @@ SELECT b.window_start, b.event_type, b.events AS batch_events, s.events AS strea
 FROM b LEFT JOIN s ON b.window_start = s.window_start AND b.event_type = s.event_type
 WHERE b.events IS DISTINCT FROM s.events OR b.total IS DISTINCT FROM s.total""",
     "reconcile_rows": f"""
-WITH {RAW} SELECT *, 'only_stream' AS side FROM raw WHERE amount <= 0""",
+WITH {RAW} SELECT *, 'only_stream' AS side, 1::BIGINT AS copies FROM raw WHERE amount <= 0""",
 }

@@ -322,7 +322,9 @@ def gold_volatility(spark: SparkSession, sf: str) -> DataFrame:
     """Written by date and sector, read back from the files."""
     result = _volatility(spark, sf)
     path = fresh_folder(spark, "gold")
-    bronze.overwrite_partition_files(result, path, ["period", "sector"])
+    # One row per period and sector: as many writers as the cluster has cores.
+    tasks = spark.sparkContext.defaultParallelism
+    bronze.overwrite_partition_files(result, path, ["period", "sector"], tasks)
     back = spark.read.schema(result.schema).parquet(path)
     return _rounded(back, 6, "period_return", "volatility").drop("close")
 
