@@ -24,13 +24,14 @@ class SkewPolicy:
     ``rows_per_task``: a key with more rows is split.
     ``max_hot_keys``: length bound of the hot list. A key that falls off it holds
     at most ``total / (max_hot_keys + 1)`` rows, so it is no longer a hot key.
-    ``broadcast_rows``: a per-key table up to this size is broadcast, a larger one
-    goes through a shuffled join.
+    ``broadcast_rows`` and ``broadcast_bytes``: a per-key table within both is
+    broadcast, a larger one goes through a shuffled join.
     """
 
-    rows_per_task: int = 5_000_000
+    rows_per_task: int = 10_000_000
     max_hot_keys: int = 10_000
     broadcast_rows: int = 1_000_000
+    broadcast_bytes: int = 256 * 1024 * 1024
 
 
 DEFAULT_POLICY = SkewPolicy()
@@ -67,14 +68,22 @@ def join_per_key(
     are spread over several salts by the hash of ``spread_by``, and its single
     per-key row is repeated once for each salt.
     """
+    key_bytes = F.octet_length(F.col(key).cast("string"))
     size = per_key.agg(
-        F.count(F.lit(1)).alias("keys"), F.count_if(F.col(key).isNull()).alias("nulls")
+        F.count(F.lit(1)).alias("keys"),
+        F.count_if(F.col(key).isNull()).alias("nulls"),
+        F.coalesce(F.sum(key_bytes), F.lit(0)).alias("key_bytes"),
     ).first()
+    row_bytes = 16 * (len(values) + 2)
+    fits = (
+        size["keys"] <= policy.broadcast_rows
+        and size["key_bytes"] + size["keys"] * row_bytes <= policy.broadcast_bytes
+    )
     narrow = per_key.select(F.col(key).alias("_key"), F.col(rows).alias("_rows"), *values)
     equal = (
         same_key(F.col(key), F.col("_key")) if size["nulls"] else F.col(key) == F.col("_key")
     )
-    if size["keys"] <= policy.broadcast_rows:
+    if fits:
         return facts.join(F.broadcast(narrow), equal, "left").drop("_key", "_rows")
 
     hot = hottest(narrow, "_rows", policy).select(

@@ -13,7 +13,9 @@ from tallywright.operators.skew import (
     SkewPolicy,
     add_carry,
     lay_out,
+    same_key,
 )
+from tallywright.session import written
 
 ORDER = ("timestamp", "transaction_id")
 KEY = "customer_id"
@@ -70,7 +72,8 @@ def _last_two_before(laid: OrderedRows) -> DataFrame:
     ).filter(F.col("_rows_before").isNotNull())
 
 
-MICRO_UNITS = T.DecimalType(28, 6)
+PER_UNIT = 1_000_000
+EXACT = T.DecimalType(28, 6)
 
 
 def with_rolling_totals(
@@ -82,8 +85,10 @@ def with_rolling_totals(
     read twice: it enters at its own time and leaves right after its time plus
     ``window``; what is inside at any moment is then a running total, so the work
     grows with the rows and not with rows times frame length. Totals are taken in
-    exact millionths, because leaving rows are subtracted; NaN and infinities are
-    counted beside them and put back in the result.
+    exact millionths, because leaving rows are subtracted: as whole numbers for
+    floating amounts (one beyond 9e12 is an error, never a wrong sum), as decimals
+    for decimal ones. NaN and infinities are counted beside them and put back in
+    the result.
     """
     floating = isinstance(df.schema["amount"].dataType, (T.DoubleType, T.FloatType))
     amount = F.col("amount")
@@ -91,7 +96,9 @@ def with_rolling_totals(
     if floating:
         nan = F.coalesce(F.isnan(amount), F.lit(False))
         inf = F.coalesce(F.abs(amount) == float("inf"), F.lit(False))
-    exact = F.when(~nan & ~inf, amount.cast(MICRO_UNITS))
+    exact = amount.cast(EXACT)
+    if floating:
+        exact = F.when(~nan & ~inf, F.rint(amount * PER_UNIT).cast("bigint"))
     payload = F.struct(*[F.col(c) for c in df.columns])
     enters = F.struct(
         F.col("timestamp").alias("_at"),
@@ -103,7 +110,7 @@ def with_rolling_totals(
     leaves = F.struct(
         (F.col("timestamp") + F.expr(f"INTERVAL {window}")).alias("_at"),
         F.lit(1).alias("_leaves"),
-        (-exact).cast(MICRO_UNITS).alias("_delta"),
+        (-exact).cast(EXACT if not floating else "bigint").alias("_delta"),
         F.lit(-1).alias("_sign"),
         F.lit(None).cast(df.schema).alias("_row"),
     )
@@ -136,7 +143,7 @@ def with_rolling_totals(
     )
     if laid.split:
         rows = _carry_totals(rows, laid, measures)
-    total: Column = F.col("_sum").cast("double") if floating else F.col("_sum")
+    total = F.col("_sum") / PER_UNIT if floating else F.col("_sum")
     if floating:
         up, down = F.col("_up_in") > 0, F.col("_down_in") > 0
         total = (
@@ -154,23 +161,36 @@ def with_rolling_totals(
 def _carry_totals(rows: DataFrame, laid: OrderedRows, measures: dict[str, Column]) -> DataFrame:
     """Add what earlier chunks hold, and the rest of an instant cut by a border.
 
-    Per chunk and key there is one summary row: totals, the first instant with
-    its own totals, and the last instant.
+    Per chunk and key there is one summary row: totals, first and last instant.
+    The totals of the first instant are summed in a second look at the rows, which
+    joins that short table and passes on only the rows it needs.
     """
     instant = F.struct("_at", "_leaves")
-    per_instant = laid.hot.groupBy(KEY, "_chunk", "_at", "_leaves").agg(
-        *[F.sum(m).alias(name) for name, m in measures.items()]
-    )
     names = list(measures)
-    summary = (
-        per_instant.withColumn("_instant", instant)
-        .groupBy(KEY, "_chunk")
-        .agg(
-            *[F.sum(n).alias(n) for n in names],
-            F.min_by(F.struct(*names), "_instant").alias("_first_totals"),
-            F.min("_instant").alias("_first"),
-            F.max("_instant").alias("_last"),
+    sums = [F.sum(m).alias(name) for name, m in measures.items()]
+    bounds = written(
+        laid.hot.groupBy(KEY, "_chunk").agg(
+            *sums, F.min(instant).alias("_first"), F.max(instant).alias("_last")
+        ),
+        "bounds",
+    )
+    firsts = bounds.select(
+        F.col(KEY).alias("_first_key"), F.col("_chunk").alias("_first_chunk"), "_first"
+    )
+    first_totals = (
+        laid.hot.join(
+            F.broadcast(firsts),
+            same_key(F.col(KEY), F.col("_first_key"))
+            & (F.col("_chunk") == F.col("_first_chunk"))
+            & (instant == F.col("_first")),
         )
+        .groupBy("_first_key", "_first_chunk")
+        .agg(*sums)
+        .select("_first_key", "_first_chunk", F.struct(*names).alias("_first_totals"))
+    )
+    summary = bounds.join(
+        F.broadcast(first_totals),
+        same_key(F.col(KEY), F.col("_first_key")) & (F.col("_chunk") == F.col("_first_chunk")),
     )
     by_chunk = W.partitionBy(KEY).orderBy("_chunk")
     earlier = by_chunk.rowsBetween(W.unboundedPreceding, -1)
