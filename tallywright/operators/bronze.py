@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from tallywright.operators.quality import require_rows
 from tallywright.schemas import TRANSACTIONS_BRONZE, column_ddl
+from tallywright.session import temporary_settings
 
 # Options of the table formats.
 FORMAT_PROPERTIES = {
@@ -84,12 +85,8 @@ def overwrite_partitions(
     by_name = df.select(*spark.table(identifier).columns)
     writer = spread_for_write(by_name, partition_by).write.mode("overwrite")
     # insertInto takes the mode from the session only, not from an option.
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
-    try:
+    with temporary_settings(spark, {OVERWRITE_MODE: "dynamic"}):
         writer.insertInto(identifier)
-    finally:
-        spark.conf.set(OVERWRITE_MODE, before)
 
 
 def overwrite_partition_files(

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from math import ceil
 
@@ -114,6 +115,22 @@ class SessionConfig:
         return builder.getOrCreate()
 
 
+@contextmanager
+def temporary_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for one block; what was set before comes back after it."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def pin_time_zone(spark: SparkSession) -> SparkSession:
     """Hour-of-day rules read the wall clock, so every job runs in UTC."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":

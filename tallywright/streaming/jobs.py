@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tallywright.functions import to_event_time
 from tallywright.operators.bronze import COMPRESSION
-from tallywright.session import fresh_folder
+from tallywright.session import fresh_folder, temporary_settings
 
 
 def event_stream(
@@ -82,14 +82,18 @@ def run_windows(
     keys: Sequence[str],
     path: str | None = None,
     checkpoint: str | None = None,
+    state_partitions: int | None = None,
 ) -> DataFrame:
     """Run a windowed count to the end of its input; the latest count per window.
 
     Update mode emits only the windows a batch changed, open ones included, and
     keeps state only behind the watermark. Each batch replaces its own folder, so
-    a repeated batch has no further effect.
+    a repeated batch has no further effect. State has one store per shuffle
+    partition, which adaptive execution does not merge; by default there are as
+    many as the cluster has cores.
     """
     spark = counted.sparkSession
+    stores = state_partitions or spark.sparkContext.defaultParallelism
     path = path or fresh_folder(spark, "windows")
     checkpoint = checkpoint or fresh_folder(spark, "windows-progress")
     spark.createDataFrame([], counted.schema).write.mode("overwrite").parquet(
@@ -99,13 +103,14 @@ def run_windows(
     def write_version(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    query = (
+    writer = (
         counted.writeStream.foreachBatch(write_version)
         .option("checkpointLocation", checkpoint)
         .outputMode("update")
         .trigger(availableNow=True)
-        .start()
     )
+    with temporary_settings(spark, {"spark.sql.shuffle.partitions": str(stores)}):
+        query = writer.start()
     query.awaitTermination()
     schema = T.StructType([*counted.schema, T.StructField("batch_id", T.LongType())])
     measures = [c for c in counted.columns if c not in ("window_start", *keys)]

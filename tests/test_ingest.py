@@ -12,6 +12,7 @@ from tallywright.operators import bronze
 from tallywright.operators.quality import DataQualityError
 from tallywright.plans.ingest import ingest_report, ingest_transactions
 from tallywright.schemas import TRANSACTIONS_BRONZE
+from tallywright.session import temporary_settings
 from tallywright.sources import id_range, make_transactions
 
 N = 100_000
@@ -161,18 +162,12 @@ def test_hot_date_is_written_by_many_tasks(spark, tmp_path):
     rows = make_transactions(id_range(spark, 20_000), "x").withColumn(
         "processing_date", F.lit("2026-07-01").cast("date")
     )
-    keys = {
+    sizes = {
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "100k",
     }
-    before = {k: spark.conf.get(k) for k in keys}
-    for key, value in keys.items():
-        spark.conf.set(key, value)
-    try:
+    with temporary_settings(spark, sizes):
         bronze.overwrite_partition_files(rows, str(tmp_path / "hot"), ["processing_date"])
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
     assert len(list((tmp_path / "hot").glob("*/*.parquet"))) > 3
     assert spark.read.parquet(str(tmp_path / "hot")).count() == 20_000
 
