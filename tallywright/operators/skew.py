@@ -65,8 +65,9 @@ def join_per_key(
     ``per_key`` must be written already (its size is read first) and carry its
     row count in ``rows``. Small enough, it is broadcast and the facts do not
     move. Otherwise both sides are shuffled by key and salt: a hot key's facts
-    are spread over several salts by the hash of ``spread_by``, and its single
-    per-key row is repeated once for each salt.
+    are spread over several salts by the hash of ``spread_by`` and of the input
+    split, which parts even copies of one row; its single per-key row is repeated
+    once for each salt.
     """
     key_bytes = F.octet_length(F.col(key).cast("string"))
     size = per_key.agg(
@@ -96,7 +97,7 @@ def join_per_key(
         return df.join(F.broadcast(hot), same_key(F.col(column), F.col("_hot_key")), "left")
 
     salted_facts = with_splits(facts, key).withColumn(
-        "_salt", F.pmod(F.xxhash64(spread_by), splits).cast("int")
+        "_salt", F.pmod(F.xxhash64(spread_by, F.spark_partition_id()), splits).cast("int")
     )
     salted_values = with_splits(narrow, "_key").select(
         "_key", *values, F.explode(F.sequence(F.lit(0), splits - 1)).alias("_value_salt")

@@ -124,6 +124,7 @@ def test_copies_of_one_row_are_spread(spark):
     assert max(r["count"] for r in laid.hot.groupBy("_chunk").count().collect()) <= 200
     out = with_rolling_totals(copies, "1 hour", SPLIT)
     assert out.select("rolling_count", "rolling_amount").distinct().collect() == [(400, 1000.0)]
+    assert with_profile(copies, SPLIT).filter("cust_avg_amount = 2.5").count() == 400
     lags = with_previous_amounts(copies, SPLIT)
     assert lags.filter(F.col("prev_amount_1").isNull()).count() == 1
     assert lags.filter(F.col("prev_amount_2").isNull()).count() == 2
