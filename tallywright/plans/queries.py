@@ -18,6 +18,7 @@ from tallywright.operators.velocity import (
 )
 from tallywright.plans.fraud import flag_transactions, score_transactions
 from tallywright.plans.ingest import ingest_report, ingest_transactions
+from tallywright.plans.marts import build_gold
 from tallywright.session import fresh_folder, pin_time_zone
 from tallywright.sources import (
     card_transactions_from_events,
@@ -310,23 +311,15 @@ def daily_returns(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(marts.period_returns(_monthly_prices(spark, sf)), 6, "period_return")
 
 
-def _volatility(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.volatility(marts.period_returns(_monthly_prices(spark, sf)))
-
-
 def volatility(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(_volatility(spark, sf), 6, "period_return", "volatility")
+    out = marts.volatility(marts.period_returns(_monthly_prices(spark, sf)))
+    return _rounded(out, 6, "period_return", "volatility")
 
 
 def gold_volatility(spark: SparkSession, sf: str) -> DataFrame:
-    """Written by date and sector, read back from the files."""
-    result = _volatility(spark, sf)
-    path = fresh_folder(spark, "gold")
-    # One row per period and sector: as many writers as the cluster has cores.
-    tasks = spark.sparkContext.defaultParallelism
-    bronze.overwrite_partition_files(result, path, ["period", "sector"], tasks)
-    back = spark.read.schema(result.schema).parquet(path)
-    return _rounded(back, 6, "period_return", "volatility").drop("close")
+    """Through both gates, written by period and sector, read back."""
+    gold = build_gold(read_table(spark, sf, "orders"), fresh_folder(spark, "gold"))
+    return _rounded(gold, 6, "period_return", "volatility").drop("close")
 
 
 def asof_snapshot(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,6 +5,8 @@ from datetime import date, datetime
 import pytest
 
 from tallywright.operators import marts, reconcile
+from tallywright.operators.quality import DataQualityError
+from tallywright.plans.marts import build_gold
 
 
 def test_bars_by_hand(spark):
@@ -92,6 +94,37 @@ def test_as_of_includes_its_moment(spark):
     assert read("2024-02-01 00:00:00") == {1: "b", 2: "c"}
 
 
+def orders(spark, *rows):
+    schema = (
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp, o_orderpriority string"
+    )
+    full = [(k, 1, "O", p, datetime(2024, m, 1), s) for k, p, m, s in rows]
+    return spark.createDataFrame(full, schema)
+
+
+def test_gold_is_written_by_period_and_sector(spark, tmp_path):
+    path = tmp_path / "gold"
+    good = orders(spark, (1, 100.0, 1, "A"), (2, 150.0, 2, " a"), (2, 90.0, 1, "A"), (3, 0.0, 3, "A"))
+    gold = build_gold(good, str(path))
+    assert sorted((r["period"], r["sector"], r["close"], r["period_return"]) for r in gold.collect()) == [
+        (date(2024, 1, 1), "A", 100.0, None),
+        (date(2024, 2, 1), "A", 150.0, 0.5),
+    ]
+    assert (path / "period=2024-02-01" / "sector=A").is_dir()
+
+
+def test_failed_gate_halts_before_the_write(spark, tmp_path):
+    path = tmp_path / "gold"
+    build_gold(orders(spark, (1, 100.0, 1, "A")), str(path))
+    kept = sorted(p.name for p in path.rglob("*.parquet"))
+    with pytest.raises(DataQualityError, match=r"in_range\(o_totalprice\): 1 rows"):
+        build_gold(orders(spark, (1, 100.0, 1, "A"), (2, -5.0, 2, "A")), str(path))
+    with pytest.raises(DataQualityError, match=r"not_null\(o_orderpriority\)"):
+        build_gold(orders(spark, (1, 100.0, 1, None)), str(path))
+    assert sorted(p.name for p in path.rglob("*.parquet")) == kept
+
+
 def test_reconcile_statuses(spark):
     schema = "k string, n int"
     batch = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("d", None), ("x", 1)], schema)

@@ -131,6 +131,18 @@ def test_equal_amounts_have_no_zscore(spark):
     assert [r["amount_zscore"] for r in with_zscore(with_profile(same)).collect()] == [None, None]
 
 
+def test_decimal_amounts_give_the_same_flags(spark, sf_small):
+    from tallywright.plans.queries import RULES, _raw
+
+    raw = _raw(spark, sf_small)
+    exact = raw.withColumn("amount", raw["amount"].cast("decimal(12,2)"))
+    columns = ["transaction_id", "fraud_reason"]
+    plain = flag_transactions(raw, RULES).select(*columns)
+    assert sorted(map(str, plain.collect())) == sorted(
+        map(str, flag_transactions(exact, RULES).select(*columns).collect())
+    )
+
+
 def test_null_customers_share_one_profile(spark):
     rows = card_rows(spark, [("a", None, NOON, 1.0), ("b", None, NOON, 3.0), ("c", "A", NOON, 9.0)])
     got = {r["transaction_id"]: r["cust_avg_amount"] for r in with_profile(rows).collect()}
