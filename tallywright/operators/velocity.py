@@ -72,7 +72,6 @@ def _last_two_before(laid: OrderedRows) -> DataFrame:
     ).filter(F.col("_rows_before").isNotNull())
 
 
-PER_UNIT = 1_000_000
 EXACT = T.DecimalType(28, 6)
 
 
@@ -85,10 +84,8 @@ def with_rolling_totals(
     read twice: it enters at its own time and leaves right after its time plus
     ``window``; what is inside at any moment is then a running total, so the work
     grows with the rows and not with rows times frame length. Totals are taken in
-    exact millionths, because leaving rows are subtracted: as whole numbers for
-    floating amounts (one beyond 9e12 is an error, never a wrong sum), as decimals
-    for decimal ones. NaN and infinities are counted beside them and put back in
-    the result.
+    exact millionths, because leaving rows are subtracted; NaN and infinities are
+    counted beside them and put back in the result.
     """
     floating = isinstance(df.schema["amount"].dataType, (T.DoubleType, T.FloatType))
     amount = F.col("amount")
@@ -96,9 +93,7 @@ def with_rolling_totals(
     if floating:
         nan = F.coalesce(F.isnan(amount), F.lit(False))
         inf = F.coalesce(F.abs(amount) == float("inf"), F.lit(False))
-    exact = amount.cast(EXACT)
-    if floating:
-        exact = F.when(~nan & ~inf, F.rint(amount * PER_UNIT).cast("bigint"))
+    exact = F.when(~nan & ~inf, amount.cast(EXACT))
     payload = F.struct(*[F.col(c) for c in df.columns])
     enters = F.struct(
         F.col("timestamp").alias("_at"),
@@ -110,7 +105,7 @@ def with_rolling_totals(
     leaves = F.struct(
         (F.col("timestamp") + F.expr(f"INTERVAL {window}")).alias("_at"),
         F.lit(1).alias("_leaves"),
-        (-exact).cast(EXACT if not floating else "bigint").alias("_delta"),
+        (-exact).cast(EXACT).alias("_delta"),
         F.lit(-1).alias("_sign"),
         F.lit(None).cast(df.schema).alias("_row"),
     )
@@ -143,7 +138,7 @@ def with_rolling_totals(
     )
     if laid.split:
         rows = _carry_totals(rows, laid, measures)
-    total = F.col("_sum") / PER_UNIT if floating else F.col("_sum")
+    total = F.col("_sum").cast("double") if floating else F.col("_sum")
     if floating:
         up, down = F.col("_up_in") > 0, F.col("_down_in") > 0
         total = (

@@ -22,6 +22,7 @@ from tallywright.plans.marts import build_gold
 from tallywright.session import fresh_folder, pin_time_zone
 from tallywright.sources import (
     card_transactions_from_events,
+    event_amount,
     id_range,
     load_card_transactions,
     make_transactions,
@@ -85,8 +86,8 @@ def dq_rejected(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_unclassified(spark: SparkSession, sf: str) -> DataFrame:
-    """Events joined to no branch: none in these tables, so the amounts are blanked
-    where the event carries an error."""
+    """Rows in neither branch. No amount is missing in these tables, so the query
+    drops the amount of error events first."""
     amount = F.when(F.col("merchant_category") != "error", F.col("amount"))
     return quality.unclassified(_raw(spark, sf).withColumn("amount", amount))
 
@@ -379,9 +380,8 @@ def _batch_windows(events: DataFrame) -> DataFrame:
 
 
 def _accepted_events(events: DataFrame) -> DataFrame:
-    """Events whose card transaction passes the gate; the rejected id rule is known."""
-    amount = F.when(F.col("event_id") % 97 == 0, -99.0).otherwise(F.col("value"))
-    return quality.accepted(events.withColumn("value", amount), "value")
+    """Events whose card transaction passes the gate."""
+    return quality.accepted(events.withColumn("amount", event_amount())).drop("amount")
 
 
 def stream_windows(spark: SparkSession, sf: str) -> DataFrame:

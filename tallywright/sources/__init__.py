@@ -3,6 +3,7 @@
 from tallywright.sources.synthetic import id_range, make_transactions
 from tallywright.sources.tables import (
     card_transactions_from_events,
+    event_amount,
     load_card_transactions,
     read_catalog_table,
     read_table,
@@ -10,6 +11,7 @@ from tallywright.sources.tables import (
 
 __all__ = [
     "card_transactions_from_events",
+    "event_amount",
     "id_range",
     "load_card_transactions",
     "make_transactions",
