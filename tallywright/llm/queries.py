@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import exact_dedup, mixing, url_filter
+from tallywright.llm import bpe, exact_dedup, mixing, url_filter
 from tallywright.llm.common import table
 
 URL_RULES = [
@@ -18,6 +18,25 @@ URL_RULES = [
 ]
 
 
+def vocabulary_path() -> str:
+    """The tokenizer file of the registered queries; the package lies beside the interpreter's own."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary_path()
+    encoded = bpe.encode_documents(table(spark, sf_dir, "documents"), path)
+    decoded = bpe.decode_documents(encoded, path, into="decoded")
+    return decoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -34,6 +53,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_bpe": op3_bpe,
         "op4_url_filter": op4_url_filter,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_mixing": op6_mixing,
