@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import bpe, exact_dedup, mixing, url_filter
+from tallywright.llm import bpe, exact_dedup, minhash, mixing, url_filter
 from tallywright.llm.common import table
 
 URL_RULES = [
@@ -51,10 +51,15 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_bpe": op3_bpe,
         "op4_url_filter": op4_url_filter,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_mixing": op6_mixing,
+        "op9_minhash": op9_minhash,
     }
