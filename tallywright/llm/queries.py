@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import bpe, exact_dedup, minhash, mixing, url_filter
-from tallywright.llm.common import table
+from tallywright.llm import bpe, exact_dedup, language_id, minhash, mixing, url_filter
+from tallywright.llm.common import held_out, table
 
 URL_RULES = [
     url_filter.Rule.parse("block", "net/"),
@@ -51,6 +51,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, docs.where(~held_out(F.col("doc_id"), 4, 2)))
+    return found.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -61,5 +67,6 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_url_filter": op4_url_filter,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_mixing": op6_mixing,
+        "op8_language_id": op8_language_id,
         "op9_minhash": op9_minhash,
     }
