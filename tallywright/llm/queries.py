@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import bpe, exact_dedup, language_id, minhash, mixing, url_filter
+from tallywright.llm import bpe, exact_dedup, language_id, minhash, mixing, quality, url_filter
 from tallywright.llm.common import held_out, table
 
 URL_RULES = [
@@ -18,6 +18,23 @@ URL_RULES = [
 ]
 
 
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
+    """Learned from labels and texts of the rows that are not held out."""
+    labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"), 3, 1) & (F.col("quality") == 1))
+    return quality.learn(docs.where(~held_out(F.col("doc_id"), 3, 1)), labels)
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score_documents(docs, quality_model(spark, docs, sf_dir))
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id"), 3, 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def vocabulary_path() -> str:
     """The tokenizer file of the registered queries; the package lies beside the interpreter's own."""
     import public_tokenizers
@@ -63,6 +80,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": op1_quality,
         "op3_bpe": op3_bpe,
         "op4_url_filter": op4_url_filter,
         "op5_exact_dedup": op5_exact_dedup,
