@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import bpe, exact_dedup, language_id, minhash, mixing, quality, url_filter
+from tallywright.llm import bpe, exact_dedup, language_id, minhash, mixing, quality, suffix_dedup, url_filter
 from tallywright.llm.common import held_out, table
 
 URL_RULES = [
@@ -35,6 +35,18 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["begin"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def vocabulary_path() -> str:
     """The tokenizer file of the registered queries; the package lies beside the interpreter's own."""
     import public_tokenizers
@@ -81,6 +93,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
+        "op2_suffix_array": op2_suffix_array,
         "op3_bpe": op3_bpe,
         "op4_url_filter": op4_url_filter,
         "op5_exact_dedup": op5_exact_dedup,
