@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import bpe, exact_dedup, language_id, minhash, mixing, quality, suffix_dedup, url_filter
+from tallywright.llm import bpe, embedding_dedup, exact_dedup, language_id, minhash, mixing, quality, suffix_dedup, url_filter
 from tallywright.llm.common import held_out, table
 
 URL_RULES = [
@@ -80,6 +80,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language_id.identify(docs, docs.where(~held_out(F.col("doc_id"), 4, 2)))
@@ -98,6 +102,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_url_filter": op4_url_filter,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_mixing": op6_mixing,
+        "op7_embeddings": op7_embeddings,
         "op8_language_id": op8_language_id,
         "op9_minhash": op9_minhash,
     }
