@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import bpe, embedding_dedup, exact_dedup, language_id, minhash, mixing, quality, suffix_dedup, url_filter
+from tallywright.llm import bpe, embedding_dedup, exact_dedup, language_id, minhash, mixing, quality, secrets, suffix_dedup, url_filter
 from tallywright.llm.common import held_out, table
 
 URL_RULES = [
@@ -94,6 +94,12 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, teaching=~held_out(F.col("doc_id"), 3, 1))
+    return found.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "begin", "end", "score", "secret")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
@@ -105,4 +111,5 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_embeddings": op7_embeddings,
         "op8_language_id": op8_language_id,
         "op9_minhash": op9_minhash,
+        "op10_secrets": op10_secrets,
     }
