@@ -4,21 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywright.llm import exact_dedup, mixing
+from tallywright.llm import bpe, exact_dedup, minhash, mixing, quality
 from tallywright.llm.common import table, written
+from tallywright.llm.queries import quality_model, vocabulary_path
 
 
-def dedup_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return quality.keep_good(docs, quality_model(spark, docs, sf_dir))
+
+
+def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
     return exact_dedup.drop_exact_copies(docs)
 
 
+def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies."""
+    return minhash.drop_near_duplicates(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as its source's share asks for."""
     return mixing.repeat_documents(docs)
 
 
-STAGES = [("exact dedup", dedup_exact), ("mixing", mix_sources)]
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every row, repeated ones too."""
+    return bpe.encode_documents(docs, vocabulary_path())
+
+
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("exact dedup", drop_exact),
+    ("MinHash near-dedup", drop_near),
+    ("mixing sources", mix_sources),
+    ("BPE encoding", tokens),
+]
 
-#: The stages are learned or iterative; tests hold them against brute-force versions.
+#: Stages are learned or iterative, which SQL does not express; tests hold them against brute force.
 ORACLE_SQL = None
 
 

@@ -244,3 +244,23 @@ def score_documents(docs: DataFrame, model: Model, doc_id: str = "doc_id", text:
     chosen = docs.select(docs[doc_id].alias("doc_id"), docs[text].cast("string").alias("text"))
     kind = chosen.schema["doc_id"].dataType.simpleString()
     return chosen.mapInArrow(run, f"doc_id {kind}, score double")
+
+
+def keep_good(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score ``threshold`` or more, columns unchanged.
+
+    Rows are judged where they are read; null and empty texts go.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = shared.value
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_A_BATCH):
+                part = batch.slice(start, ROWS_A_BATCH)
+                texts = part.column(place).to_pylist()
+                scores = tool.score(np.array([features(t) for t in texts], dtype=np.float64).reshape(-1, FEATURES))
+                yield part.filter(pa.array((scores >= threshold) & np.array([bool(t) for t in texts])))
+
+    return docs.mapInArrow(run, docs.schema)
