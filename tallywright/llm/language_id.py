@@ -164,11 +164,14 @@ def fit(samples: dict[str, list[str]], chars: int = TRAIN_CHARS, letters: int =
     for name in languages:
         codes = model.codes(learned[name])
         moves = suffix_automaton(codes, alphabet)
-        # Where a phrase cannot go on, the next one starts with the same character; one that
-        # the language never has is a phrase of its own.
-        again = np.where(moves[0] >= 0, moves[0], 0)
-        stuck = moves < 0
-        tables.append((np.where(stuck, again[None, :], moves) + offset) * 2 + stuck)
+        # Where a phrase cannot go on, the next one starts with the same character. One that the
+        # language never has is a phrase of its own: it leads to an extra state that ends it.
+        alone = len(moves)
+        moves = np.concatenate([moves, np.full((1, alphabet), -1, dtype=np.int32)])
+        again = np.where(moves[0] >= 0, moves[0], alone)
+        ends = moves < 0
+        ends[0] = False  # only the start of a piece is there, whose phrase is counted
+        tables.append((np.where(moves < 0, again[None, :], moves) + offset) * 2 + ends)
         starts.append(offset)
         sizes.append(len(codes))
         offset += len(moves)

@@ -85,10 +85,10 @@ def test_repeated_spans(docs, length, piece, sorted_at_most):
 def test_long_text_repeats_itself_across_chunks(spark):
     text = sentence(random.Random(3), 9_000, 8_000)
     passage = text[1_000:1_400]
-    docs = documents(spark, [text + passage, "tail#" + passage]).dropDuplicates(["doc_id"])
+    docs = documents(spark, [text + "#" + passage, "tail-" + passage]).dropDuplicates(["doc_id"])
     found = [r for r in suffix_dedup.repeated_spans(docs).collect() if r["doc_id"] == 0]
     assert [(s["begin"], s["end"]) for s in found[0]["spans"]][0] == (1_000, 1_400)
-    assert found[0]["spans"][-1]["end"] == len(text) + 400
+    assert found[0]["spans"][-1]["end"] == len(text) + 401
 
 
 # --- 3: BPE ---------------------------------------------------------------------------
