@@ -39,14 +39,13 @@ rolling AS (
 
 def _synthetic(batch_id: str = "batch-1") -> str:
     draw = "('0x' || substr(sha256({key}), 1, 8))::BIGINT"
-    amount_draw = draw.format(key="id::VARCHAR")
     risk_draw = draw.format(key="'risk' || id::VARCHAR")
     return f"""
-ids AS (SELECT row_number() OVER () - 1 AS id FROM events),
+ids AS (SELECT event_id AS id, user_id, value FROM events),
 parts AS (
-  SELECT id, 'TX' || lpad(id::VARCHAR, 12, '0') AS transaction_id,
+  SELECT id, value, 'TX' || lpad(id::VARCHAR, 12, '0') AS transaction_id,
          'ACCT' || lpad((id % 25000)::VARCHAR, 8, '0') AS account_id,
-         'CUST' || lpad((id % 15000)::VARCHAR, 7, '0') AS customer_id,
+         'CUST' || lpad(user_id::VARCHAR, 7, '0') AS customer_id,
          (DATE '2026-07-01' + (id % 31)::INTEGER) AS event_date,
          (['grocery', 'fuel', 'travel', 'online_services', 'electronics',
            'cash_withdrawal', 'gaming', 'utilities'])[id % 8 + 1] AS merchant_category
@@ -54,7 +53,7 @@ parts AS (
 synthetic AS (
   SELECT transaction_id, account_id, customer_id,
          event_date::TIMESTAMP + to_seconds(id % 86400) AS event_ts, event_date,
-         CAST(({amount_draw} % 950001 + 100) / 100 AS DECIMAL(12, 2)) AS amount,
+         CAST(value AS DECIMAL(12, 2)) AS amount,
          'USD' AS currency, merchant_category,
          (['US', 'IN', 'GB', 'DE', 'SG'])[id % 5 + 1] AS country,
          (['pos', 'mobile', 'web', 'atm'])[id % 4 + 1] AS channel,
@@ -206,7 +205,7 @@ FROM synthetic GROUP BY processing_date""",
 WITH {SYNTHETIC}
 SELECT processing_date,
        CASE WHEN processing_date >= DATE '2026-07-20' THEN 'batch-2' ELSE 'batch-1' END
-         AS ingestion_batch_id, count(*) AS records
+         AS ingestion_batch_id, count(*) AS records, CAST(sum(amount) AS DOUBLE) AS amount
 FROM synthetic GROUP BY 1, 2""",
     "category_counts": f"""
 WITH {SYNTHETIC}
@@ -241,10 +240,10 @@ SELECT period, sector, close, round(period_return, 6) AS period_return,
        round(volatility, 6) AS volatility FROM volatile""",
     "gold_volatility": f"""
 WITH {MONTHLY}
-SELECT period, sector, round(period_return, 6) AS period_return,
+SELECT period, sector, close, round(period_return, 6) AS period_return,
        round(volatility, 6) AS volatility FROM volatile""",
     "asof_snapshot": """
-SELECT event_id, ts, user_id, event_type, value FROM events
+SELECT * FROM events
 WHERE ts <= TIMESTAMP '2024-01-15 00:00:00'
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "dq_suite": " UNION ALL ".join(

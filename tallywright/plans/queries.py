@@ -23,11 +23,10 @@ from tallywright.session import fresh_folder, pin_time_zone
 from tallywright.sources import (
     card_transactions_from_events,
     event_amount,
-    id_range,
     load_card_transactions,
-    make_transactions,
     read_catalog_table,
     read_table,
+    transactions_from_events,
 )
 from tallywright.streaming import event_stream, ingest, run_windows, window_counts
 
@@ -192,18 +191,17 @@ def velocity_flags(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-# --- synthetic table and ingest -----------------------------------------------
+# --- transaction table and ingest -----------------------------------------------
 
 
 def _plain_time(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
 
-def _synthetic(spark: SparkSession, sf: str, batch_id: str = BATCH_ID) -> tuple[DataFrame, int]:
-    """One synthetic transaction for each event row, and their number."""
-    rows = read_table(spark, sf, "events").count()
+def _transactions(spark: SparkSession, sf: str, batch_id: str = BATCH_ID) -> DataFrame:
+    """One transaction for each event row."""
     created = F.lit(CREATED_AT).cast("timestamp")
-    return make_transactions(id_range(spark, rows), batch_id, created), rows
+    return transactions_from_events(read_table(spark, sf, "events"), batch_id, created)
 
 
 def _comparable(table: DataFrame) -> DataFrame:
@@ -212,13 +210,13 @@ def _comparable(table: DataFrame) -> DataFrame:
 
 
 def synth_transactions(spark: SparkSession, sf: str) -> DataFrame:
-    return _comparable(_synthetic(spark, sf)[0])
+    return _comparable(_transactions(spark, sf))
 
 
 def synth_risk(spark: SparkSession, sf: str) -> DataFrame:
     """Risk by category and channel."""
     return (
-        _synthetic(spark, sf)[0]
+        _transactions(spark, sf)
         .groupBy("merchant_category", "channel")
         .agg(
             F.count(F.lit(1)).alias("records"),
@@ -230,13 +228,6 @@ def synth_risk(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def synth_rand(spark: SparkSession, sf: str) -> DataFrame:
-    """Seeded draws; they repeat for one partition layout and have no SQL twin."""
-    rows = read_table(spark, sf, "events").count()
-    created = F.lit(CREATED_AT).cast("timestamp")
-    return _comparable(make_transactions(id_range(spark, rows), BATCH_ID, created, "rand"))
-
-
 def _new_table(spark: SparkSession) -> dict[str, str]:
     folder = fresh_folder(spark, "bronze")
     return {
@@ -247,9 +238,8 @@ def _new_table(spark: SparkSession) -> dict[str, str]:
 
 
 def _ingested(spark: SparkSession, sf: str) -> str:
-    transactions, rows = _synthetic(spark, sf)
     target = _new_table(spark)
-    ingest_transactions(transactions, minimum_rows=rows, **target)
+    ingest_transactions(_transactions(spark, sf), **target)
     return target["identifier"]
 
 
@@ -269,15 +259,17 @@ def bronze_readback(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bronze_overwrite(spark: SparkSession, sf: str) -> DataFrame:
-    """A second batch replaces the dates it holds; the other dates survive."""
+    """A second batch replaces the dates it holds, a rerun of it changes nothing, and
+    the dates it does not hold survive."""
     identifier = _ingested(spark, sf)
-    second, _ = _synthetic(spark, sf, "batch-2")
+    second = _transactions(spark, sf, "batch-2")
     later = second.filter(F.col("processing_date") >= F.lit("2026-07-20").cast("date"))
     bronze.overwrite_partitions(later, identifier)
+    bronze.overwrite_partitions(later, identifier)
     return (
         read_catalog_table(spark, identifier)
         .groupBy("processing_date", "ingestion_batch_id")
-        .agg(F.count(F.lit(1)).alias("records"))
+        .agg(F.count(F.lit(1)).alias("records"), F.sum("amount").cast("double").alias("amount"))
     )
 
 
@@ -320,12 +312,12 @@ def volatility(spark: SparkSession, sf: str) -> DataFrame:
 def gold_volatility(spark: SparkSession, sf: str) -> DataFrame:
     """Through both gates, written by period and sector, read back."""
     gold = build_gold(read_table(spark, sf, "orders"), fresh_folder(spark, "gold"))
-    return _rounded(gold, 6, "period_return", "volatility").drop("close")
+    return _rounded(gold, 6, "period_return", "volatility")
 
 
 def asof_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     events = read_table(spark, sf, "events")
-    return marts.as_of(events, "user_id", "ts", AS_OF, ["event_id"]).drop("props")
+    return marts.as_of(events, "user_id", "ts", AS_OF, ["event_id"])
 
 
 def dq_suite(spark: SparkSession, sf: str) -> DataFrame:
@@ -458,7 +450,6 @@ REGISTERED: tuple[Query, ...] = (
     velocity_flags,
     synth_transactions,
     synth_risk,
-    synth_rand,
     bronze_write,
     bronze_readback,
     bronze_overwrite,

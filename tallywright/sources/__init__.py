@@ -1,6 +1,6 @@
 """Readers and generated sources."""
 
-from tallywright.sources.synthetic import id_range, make_transactions
+from tallywright.sources.synthetic import id_range, make_transactions, transactions_from_events
 from tallywright.sources.tables import (
     card_transactions_from_events,
     event_amount,
@@ -17,4 +17,5 @@ __all__ = [
     "make_transactions",
     "read_catalog_table",
     "read_table",
+    "transactions_from_events",
 ]

@@ -62,14 +62,20 @@ def make_transactions(
     batch_id: str | None = None,
     created_at: Column | None = None,
     draws: str = "hash",
+    customer: Column | None = None,
+    amount: Column | None = None,
 ) -> DataFrame:
-    """Sixteen transaction columns, each a function of ``record_id``.
+    """Sixteen transaction columns, each a function of ``record_id`` unless given.
 
-    ``draws='hash'`` depends on the id only. ``draws='rand'`` uses seeded
-    generators and so also on the partition layout of ``ids``.
+    ``customer`` and ``amount`` take what the input rows hold in place of the
+    formula and of the draw. ``draws='hash'`` depends on the id only.
+    ``draws='rand'`` uses seeded generators and so also on the partition layout of
+    ``ids``.
     """
     record_id = F.col("record_id")
-    amount, risk_part = _draws(draws, record_id)
+    drawn, risk_part = _draws(draws, record_id)
+    amount = drawn if amount is None else amount.cast("decimal(12,2)")
+    customer = F.pmod(record_id, F.lit(CUSTOMERS)) if customer is None else customer
     event_date = F.date_add(
         F.to_date(F.lit(FIRST_DATE)), F.pmod(record_id, F.lit(DAYS)).cast("int")
     )
@@ -77,7 +83,7 @@ def make_transactions(
         "record_id",
         padded_id("TX", 12, record_id).alias("transaction_id"),
         padded_id("ACCT", 8, F.pmod(record_id, F.lit(ACCOUNTS))).alias("account_id"),
-        padded_id("CUST", 7, F.pmod(record_id, F.lit(CUSTOMERS))).alias("customer_id"),
+        padded_id("CUST", 7, customer).alias("customer_id"),
         event_date.alias("event_date"),
         cycle(MERCHANT_CATEGORIES, record_id).alias("merchant_category"),
         amount.alias("amount"),
@@ -102,3 +108,13 @@ def make_transactions(
         F.col("event_date").alias("processing_date"),
     )
     return derived.select(*TRANSACTIONS_BRONZE.fieldNames())
+
+
+def transactions_from_events(
+    events: DataFrame, batch_id: str | None = None, created_at: Column | None = None
+) -> DataFrame:
+    """One transaction for each event: its id, its user as customer, its value as amount."""
+    rows = events.select(F.col("event_id").alias("record_id"), "user_id", "value")
+    return make_transactions(
+        rows, batch_id, created_at, customer=F.col("user_id"), amount=F.col("value")
+    )

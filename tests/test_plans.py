@@ -36,7 +36,6 @@ def test_gate_reaches_the_scan(spark, sf_small):
 def test_as_of_reaches_the_scan_and_limits_before_the_shuffle(spark, sf_small):
     text = plan(q.asof_snapshot(spark, sf_small))
     assert "PushedFilters: [IsNotNull(ts), LessThanOrEqual(ts" in text
-    assert "props" not in text
     exchange = text.index("Exchange hashpartitioning")
     assert "WindowGroupLimit" in text[exchange:]
 
