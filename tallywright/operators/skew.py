@@ -13,6 +13,7 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywright.session import written
 
@@ -21,15 +22,13 @@ from tallywright.session import written
 class SkewPolicy:
     """Limits behind every broadcast and every per-key task.
 
-    ``rows_per_task``: a key with more rows is split.
-    ``max_hot_keys``: length bound of the hot list. A key that falls off it holds
-    at most ``total / (max_hot_keys + 1)`` rows, so it is no longer a hot key.
-    ``broadcast_rows`` and ``broadcast_bytes``: a per-key table within both is
-    broadcast, a larger one goes through a shuffled join.
+    ``rows_per_task``: a key with more rows is split, however many such keys there
+    are; their list has at most ``total / rows_per_task`` rows by itself.
+    ``broadcast_rows`` and ``broadcast_bytes``: a table within both, once written and
+    counted, is broadcast, a larger one goes through a shuffled join.
     """
 
     rows_per_task: int = 10_000_000
-    max_hot_keys: int = 10_000
     broadcast_rows: int = 1_000_000
     broadcast_bytes: int = 256 * 1024 * 1024
 
@@ -43,12 +42,24 @@ def same_key(left: Column, right: Column) -> Column:
 
 
 def hottest(counts: DataFrame, rows: str, policy: SkewPolicy) -> DataFrame:
-    """The keys above ``rows_per_task``, at most ``max_hot_keys`` of them."""
-    return (
-        counts.filter(F.col(rows) > policy.rows_per_task)
-        .orderBy(F.desc(rows))
-        .limit(policy.max_hot_keys)
+    """The keys above ``rows_per_task``."""
+    return counts.filter(F.col(rows) > policy.rows_per_task)
+
+
+def measured(df: DataFrame, label: str, policy: SkewPolicy) -> DataFrame:
+    """``df`` written and counted; marked for broadcast if it is within the limits."""
+    table = written(df, label)
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    per_row = 16 * len(df.columns)
+    letters = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(0))
+    size = table.agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(letters), F.lit(0)).alias("bytes")
+    ).first()
+    fits = (
+        size["rows"] <= policy.broadcast_rows
+        and size["bytes"] + size["rows"] * per_row <= policy.broadcast_bytes
     )
+    return F.broadcast(table) if fits else table
 
 
 def join_per_key(
@@ -87,14 +98,18 @@ def join_per_key(
     if fits:
         return facts.join(F.broadcast(narrow), equal, "left").drop("_key", "_rows")
 
-    hot = hottest(narrow, "_rows", policy).select(
-        F.col("_key").alias("_hot_key"),
-        F.ceil(F.col("_rows") / policy.rows_per_task).cast("int").alias("_splits"),
+    hot = measured(
+        hottest(narrow, "_rows", policy).select(
+            F.col("_key").alias("_hot_key"),
+            F.ceil(F.col("_rows") / policy.rows_per_task).cast("int").alias("_splits"),
+        ),
+        "hot-keys",
+        policy,
     )
     splits = F.coalesce(F.col("_splits"), F.lit(1))
 
     def with_splits(df: DataFrame, column: str) -> DataFrame:
-        return df.join(F.broadcast(hot), same_key(F.col(column), F.col("_hot_key")), "left")
+        return df.join(hot, same_key(F.col(column), F.col("_hot_key")), "left")
 
     salted_facts = with_splits(facts, key).withColumn(
         "_salt", F.pmod(F.xxhash64(spread_by, F.spark_partition_id()), splits).cast("int")
@@ -145,35 +160,49 @@ def lay_out(
     order = tuple(order)
     if counts is None:
         counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    hot_list = hottest(counts, "_rows", policy).collect()
-    if not hot_list:
+    hot_keys = measured(
+        hottest(counts, "_rows", policy).select(F.col(key).alias("_hot_key"), "_rows"),
+        "hot-keys",
+        policy,
+    )
+    found = hot_keys.agg(F.count(F.lit(1)).alias("keys"), F.sum("_rows").alias("rows")).first()
+    if not found["keys"]:
         return OrderedRows(df.withColumn("_chunk", F.lit(0)), key, order, split=False)
 
-    hot_keys = [row[key] for row in hot_list if row[key] is not None]
-    null_is_hot = len(hot_keys) < len(hot_list)
-    is_hot = F.when(F.col(key).isNull(), null_is_hot).otherwise(F.col(key).isin(hot_keys))
-    chunks = ceil(sum(row["_rows"] for row in hot_list) / policy.rows_per_task) + 1
+    is_hot = same_key(F.col(key), F.col("_hot_key"))
+    names = hot_keys.drop("_rows")
+    chunks = ceil(found["rows"] / policy.rows_per_task) + 1
     hot = written(
-        df.filter(is_hot)
+        df.join(names, is_hot, "left_semi")
         .withColumn("_input_split", F.spark_partition_id())
         .repartitionByRange(chunks, key, *order, "_input_split")
         .withColumn("_chunk", F.spark_partition_id() + 1)
         .drop("_input_split"),
         "chunks",
     )
-    cold = df.filter(~is_hot).withColumn("_chunk", F.lit(0))
+    cold = df.join(names, is_hot, "left_anti").withColumn("_chunk", F.lit(0))
     return OrderedRows(cold.unionByName(hot), key, order, split=True, hot=hot)
 
 
-def add_carry(rows: DataFrame, carry: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
-    """Join per-chunk carried values.
+def add_carry(
+    rows: DataFrame,
+    carry: DataFrame,
+    key: str,
+    values: Sequence[str],
+    policy: SkewPolicy = DEFAULT_POLICY,
+) -> DataFrame:
+    """Join values carried into each chunk of a hot key.
 
-    The rows are range-partitioned by key first, so only the first key of a chunk
-    can continue from the chunk before: ``carry`` has at most one row per chunk
-    and key border, and the number of chunks was fixed by the row count.
+    ``carry`` has a row for each hot key and chunk it reaches: hot keys plus chunks
+    at most, both bounded by the rows over ``rows_per_task``. It is written and
+    counted, and broadcast only within the policy's limits.
     """
-    narrow = carry.select(
-        F.col(key).alias("_carry_key"), F.col("_chunk").alias("_carry_chunk"), *values
+    narrow = measured(
+        carry.select(
+            F.col(key).alias("_carry_key"), F.col("_chunk").alias("_carry_chunk"), *values
+        ),
+        "carry",
+        policy,
     )
     on = same_key(F.col(key), F.col("_carry_key")) & (F.col("_chunk") == F.col("_carry_chunk"))
-    return rows.join(F.broadcast(narrow), on, "left").drop("_carry_key", "_carry_chunk")
+    return rows.join(narrow, on, "left").drop("_carry_key", "_carry_chunk")

@@ -13,6 +13,7 @@ from tallywright.operators.skew import (
     SkewPolicy,
     add_carry,
     lay_out,
+    measured,
     same_key,
 )
 from tallywright.session import written
@@ -32,7 +33,7 @@ def with_previous_amounts(
     )
     if laid.split:
         rows = rows.withColumn("_nth", F.row_number().over(w))
-        rows = add_carry(rows, _last_two_before(laid), KEY, ["_last_1", "_last_2"])
+        rows = add_carry(rows, _last_two_before(laid), KEY, ["_last_1", "_last_2"], policy)
         nth = F.col("_nth")
         rows = rows.withColumn(
             "prev_amount_2",
@@ -73,6 +74,11 @@ def _last_two_before(laid: OrderedRows) -> DataFrame:
 
 
 EXACT = T.DecimalType(28, 6)
+LARGEST_EXACT = 1e15
+
+
+def _is_floating(df: DataFrame) -> bool:
+    return isinstance(df.schema["amount"].dataType, (T.DoubleType, T.FloatType))
 
 
 def with_rolling_totals(
@@ -83,41 +89,82 @@ def with_rolling_totals(
     Equal to a RANGE frame from ``window`` before to the current row. Each row is
     read twice: it enters at its own time and leaves right after its time plus
     ``window``; what is inside at any moment is then a running total, so the work
-    grows with the rows and not with rows times frame length. Totals are taken in
-    exact millionths, because leaving rows are subtracted; NaN and infinities are
-    counted beside them and put back in the result.
+    grows with the rows and not with rows times frame length.
+
+    Leaving rows are subtracted, so amounts must be exact. Decimals keep their own
+    scale. Floating amounts that whole millionths hold, as money does, are summed in
+    these; NaN and infinities are counted beside them. A customer with any other
+    amount is left to Spark's own frame, which only adds but is not split; whether
+    there are such customers is counted first, which runs a job.
     """
-    floating = isinstance(df.schema["amount"].dataType, (T.DoubleType, T.FloatType))
+    if not _is_floating(df):
+        return _running(df, window, policy, amounts=True)
     amount = F.col("amount")
+    finite = ~F.isnan(amount) & (F.abs(amount) != float("inf"))
+    # Beyond the limit the cast would not fit, so it is not looked at.
+    exact = (F.abs(amount) < LARGEST_EXACT) & (
+        F.when(F.abs(amount) < LARGEST_EXACT, amount).cast(EXACT).cast("double") == amount
+    )
+    inexact = df.filter(finite & ~exact).select(F.col(KEY).alias("_inexact_key")).distinct()
+    inexact = measured(inexact, "inexact-keys", policy)
+    if inexact.isEmpty():
+        return _running(df, window, policy, amounts=True)
+    met = same_key(F.col(KEY), F.col("_inexact_key"))
+    plain = _native(df.join(inexact, met, "left_semi"), window)
+    return _running(df.join(inexact, met, "left_anti"), window, policy, amounts=True).unionByName(plain)
+
+
+def _native(df: DataFrame, window: str) -> DataFrame:
+    """Spark's own RANGE frame, in microseconds because frames take no intervals here."""
+    moment = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    span = df.sparkSession.range(1).select(
+        F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {window}"))
+    )
+    w = W.partitionBy(KEY).orderBy("_micros").rangeBetween(-span.first()[0], 0)
+    return (
+        df.withColumn("_micros", moment)
+        .withColumns(
+            {"rolling_count": F.count(F.lit(1)).over(w), "rolling_amount": F.sum("amount").over(w)}
+        )
+        .drop("_micros")
+    )
+
+
+def _running(df: DataFrame, window: str, policy: SkewPolicy, amounts: bool) -> DataFrame:
+    """``rolling_count`` and, if ``amounts``, ``rolling_amount`` from running totals."""
+    floating = amounts and _is_floating(df)
     nan, inf = F.lit(False), F.lit(False)
-    if floating:
-        nan = F.coalesce(F.isnan(amount), F.lit(False))
-        inf = F.coalesce(F.abs(amount) == float("inf"), F.lit(False))
-    exact = F.when(~nan & ~inf, amount.cast(EXACT))
+    exact = F.lit(0)
+    if amounts:
+        amount = F.col("amount")
+        exact = amount
+        if floating:
+            nan = F.coalesce(F.isnan(amount), F.lit(False))
+            inf = F.coalesce(F.abs(amount) == float("inf"), F.lit(False))
+            exact = F.when(~nan & ~inf, amount).cast(EXACT)
     payload = F.struct(*[F.col(c) for c in df.columns])
     enters = F.struct(
         F.col("timestamp").alias("_at"),
         F.lit(0).alias("_leaves"),
-        exact.alias("_delta"),
         F.lit(1).alias("_sign"),
         payload.alias("_row"),
     )
     leaves = F.struct(
         (F.col("timestamp") + F.expr(f"INTERVAL {window}")).alias("_at"),
         F.lit(1).alias("_leaves"),
-        (-exact).cast(EXACT).alias("_delta"),
         F.lit(-1).alias("_sign"),
         F.lit(None).cast(df.schema).alias("_row"),
     )
-    moves = df.select(
-        F.col(KEY),
-        F.col("transaction_id").alias("_id"),
-        amount.isNotNull().alias("_valued"),
-        nan.alias("_nan"),
-        (inf & (amount > 0)).alias("_up"),
-        (inf & (amount < 0)).alias("_down"),
-        F.inline(F.array(enters, leaves)),
-    )
+    carried = [F.col(KEY), F.col("transaction_id").alias("_id")]
+    if amounts:
+        carried += [exact.alias("_delta"), F.col("amount").isNotNull().alias("_valued")]
+    if floating:
+        carried += [
+            nan.alias("_nan"),
+            (inf & (F.col("amount") > 0)).alias("_up"),
+            (inf & (F.col("amount") < 0)).alias("_down"),
+        ]
+    moves = df.select(*carried, F.inline(F.array(enters, leaves)))
     counts = df.groupBy(KEY).agg((F.count(F.lit(1)) * 2).alias("_rows"))
     laid = lay_out(moves, KEY, ("_at", "_leaves", "_id"), policy, counts)
     # Rows of one instant see each other, so the running frame is RANGE.
@@ -126,34 +173,38 @@ def with_rolling_totals(
         .orderBy("_at", "_leaves")
         .rangeBetween(W.unboundedPreceding, W.currentRow)
     )
-    measures = {"_in": F.col("_sign"), "_sum": F.col("_delta")}
+    measures = {"_in": F.col("_sign")}
+    if amounts:
+        measures["_sum"] = F.when(F.col("_leaves") == 0, F.col("_delta")).otherwise(-F.col("_delta"))
+        measures["_valued_in"] = F.when(F.col("_valued"), F.col("_sign")).otherwise(0)
     if floating:
         # Only the inexact types can hold NaN and infinities.
         for name in ("_nan", "_up", "_down"):
             measures[f"{name}_in"] = F.when(F.col(name), F.col("_sign")).otherwise(0)
-    measures["_valued_in"] = F.when(F.col("_valued"), F.col("_sign")).otherwise(0)
     rows = laid.rows.select(
         *["_chunk", KEY, "_at", "_leaves", "_row"],
         *[F.sum(measure).over(w).alias(name) for name, measure in measures.items()],
     )
     if laid.split:
-        rows = _carry_totals(rows, laid, measures)
-    total = F.col("_sum").cast("double") if floating else F.col("_sum")
-    if floating:
-        up, down = F.col("_up_in") > 0, F.col("_down_in") > 0
-        total = (
-            F.when((F.col("_nan_in") > 0) | (up & down), F.lit(float("nan")))
-            .when(up, F.lit(float("inf")))
-            .when(down, F.lit(float("-inf")))
-            .otherwise(F.coalesce(total, F.lit(0.0)))
-        )
-    total = F.when(F.col("_valued_in") > 0, total)
-    return rows.filter(F.col("_leaves") == 0).select(
-        "_row.*", F.col("_in").alias("rolling_count"), total.alias("rolling_amount")
-    )
+        rows = _carry_totals(rows, laid, measures, policy)
+    out = [F.col("_row.*"), F.col("_in").alias("rolling_count")]
+    if amounts:
+        total = F.col("_sum").cast("double") if floating else F.col("_sum")
+        if floating:
+            up, down = F.col("_up_in") > 0, F.col("_down_in") > 0
+            total = (
+                F.when((F.col("_nan_in") > 0) | (up & down), F.lit(float("nan")))
+                .when(up, F.lit(float("inf")))
+                .when(down, F.lit(float("-inf")))
+                .otherwise(F.coalesce(total, F.lit(0.0)))
+            )
+        out.append(F.when(F.col("_valued_in") > 0, total).alias("rolling_amount"))
+    return rows.filter(F.col("_leaves") == 0).select(*out)
 
 
-def _carry_totals(rows: DataFrame, laid: OrderedRows, measures: dict[str, Column]) -> DataFrame:
+def _carry_totals(
+    rows: DataFrame, laid: OrderedRows, measures: dict[str, Column], policy: SkewPolicy
+) -> DataFrame:
     """Add what earlier chunks hold, and the rest of an instant cut by a border.
 
     Per chunk and key there is one summary row: totals, first and last instant.
@@ -169,12 +220,16 @@ def _carry_totals(rows: DataFrame, laid: OrderedRows, measures: dict[str, Column
         ),
         "bounds",
     )
-    firsts = bounds.select(
-        F.col(KEY).alias("_first_key"), F.col("_chunk").alias("_first_chunk"), "_first"
+    firsts = measured(
+        bounds.select(
+            F.col(KEY).alias("_first_key"), F.col("_chunk").alias("_first_chunk"), "_first"
+        ),
+        "firsts",
+        policy,
     )
     first_totals = (
         laid.hot.join(
-            F.broadcast(firsts),
+            firsts,
             same_key(F.col(KEY), F.col("_first_key"))
             & (F.col("_chunk") == F.col("_first_chunk"))
             & (instant == F.col("_first")),
@@ -184,7 +239,7 @@ def _carry_totals(rows: DataFrame, laid: OrderedRows, measures: dict[str, Column
         .select("_first_key", "_first_chunk", F.struct(*names).alias("_first_totals"))
     )
     summary = bounds.join(
-        F.broadcast(first_totals),
+        measured(first_totals, "first-totals", policy),
         same_key(F.col(KEY), F.col("_first_key")) & (F.col("_chunk") == F.col("_first_chunk")),
     )
     by_chunk = W.partitionBy(KEY).orderBy("_chunk")
@@ -210,15 +265,24 @@ def _carry_totals(rows: DataFrame, laid: OrderedRows, measures: dict[str, Column
         *[F.when(cut, F.lead(f"_from_here{n}").over(by_chunk)).alias(f"_after{n}") for n in names],
     )
     carried = [f"_before{n}" for n in names] + [f"_after{n}" for n in names]
-    joined = add_carry(rows, carry, KEY, ["_last", *carried])
+    joined = add_carry(rows, carry, KEY, ["_last", *carried], policy)
     at_border = F.coalesce(instant == F.col("_last"), F.lit(False))
     zero = F.lit(0)
 
+    def addend(value: Column, kind: T.DataType) -> Column:
+        # One digit less than the widest decimal, so that adding keeps the scale.
+        if isinstance(kind, T.DecimalType):
+            value = value.cast(T.DecimalType(min(kind.precision, 37), kind.scale))
+        return F.coalesce(value, zero.cast(kind))
+
     def whole(name: str) -> Column:
-        here = F.coalesce(F.col(name), zero)
-        before = F.coalesce(F.col(f"_before{name}"), zero)
-        after = F.coalesce(F.when(at_border, F.col(f"_after{name}")), zero)
-        return (here + before + after).alias(name)
+        kind = rows.schema[name].dataType
+        if isinstance(kind, T.DecimalType):
+            kind = T.DecimalType(min(kind.precision, 37), kind.scale)
+        here = addend(F.col(name), kind)
+        before = addend(F.col(f"_before{name}"), kind)
+        after = addend(F.when(at_border, F.col(f"_after{name}")), kind)
+        return ((here + before).cast(kind) + after).cast(kind).alias(name)
 
     return joined.select("_leaves", "_row", *[whole(name) for name in names])
 
@@ -229,7 +293,10 @@ def with_velocity_flag(
     limit: int = 5,
     policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
-    """True where the customer has ``limit`` or more rows in the trailing window."""
-    return with_rolling_totals(df, window, policy).withColumn(
+    """True where the customer has ``limit`` or more rows in the trailing window.
+
+    Only rows are counted; amounts are not looked at.
+    """
+    return _running(df, window, policy, amounts=False).withColumn(
         "is_high_velocity", F.col("rolling_count") >= limit
     )

@@ -137,3 +137,47 @@ def test_null_timestamps_keep_their_own_frame(spark):
         out = with_rolling_totals(rows, "1 hour", policy)
         got = {(r["timestamp"], r["rolling_count"]) for r in out.collect()}
         assert got == {(None, 60), (START, 30)}
+
+
+def test_every_key_above_the_limit_is_split(spark):
+    """More hot keys than any list of fixed length would hold."""
+    rows = spark.range(0, 12_000, 1, 6).select(
+        F.format_string("T%05d", "id").alias("transaction_id"),
+        (F.col("id") % 300).cast("string").alias("customer_id"),
+        (F.lit(START).cast("timestamp") + F.make_dt_interval(secs=F.col("id").cast("double"))).alias("timestamp"),
+        F.lit(1.0).alias("amount"),
+    )
+    policy = SkewPolicy(rows_per_task=10, broadcast_rows=50)
+    laid = lay_out(rows, "customer_id", ORDER, policy)
+    sizes = laid.rows.groupBy("customer_id", "_chunk").count()
+    assert laid.rows.filter("_chunk = 0").count() == 0
+    assert sizes.agg(F.max("count")).first()[0] < 40
+    w = W.partitionBy("customer_id").orderBy(*ORDER)
+    expected = rows.withColumn("prev_amount_1", F.lag("amount", 1).over(w)).withColumn(
+        "prev_amount_2", F.lag("amount", 2).over(w)
+    )
+    assert as_rows(with_previous_amounts(rows, policy)) == as_rows(expected)
+
+
+@pytest.mark.parametrize("amounts", [[4e-7, 4e-7, 1.5], [1e23, 3.25, 1e23], [1 / 3, 2 / 3, 7.0], [1e300, 1e-300, None]])
+def test_odd_amounts_equal_the_range_frame(spark, amounts):
+    data = [
+        (f"T{i:03d}", f"C{i % 3}", START + timedelta(seconds=7 * i), amounts[i % 3] if i % 3 else 2.5, "Retail", "Visa", "US")
+        for i in range(90)
+    ] + [(f"U{i}", "ODD", START + timedelta(seconds=i), amounts[i % 3], "Retail", "Visa", "US") for i in range(40)]
+    rows = spark.createDataFrame(data, CARD_TRANSACTIONS)
+    w = W.partitionBy("customer_id").orderBy(F.col("timestamp").cast("long")).rangeBetween(-60, 0)
+    expected = rows.withColumn("rolling_count", F.count(F.lit(1)).over(w)).withColumn("rolling_amount", F.sum("amount").over(w))
+    for policy in (SPLIT, WHOLE):
+        assert_close(with_rolling_totals(rows, "1 minute", policy), expected)
+
+
+def test_wide_decimals_keep_their_scale(spark):
+    rows = spark.createDataFrame(_rows(seed=4, spread_seconds=4_000), CARD_TRANSACTIONS)
+    fine = rows.withColumn("amount", (F.col("amount") / 7).cast("decimal(38,10)"))
+    w = W.partitionBy("customer_id").orderBy(F.col("timestamp").cast("long")).rangeBetween(-60, 0)
+    expected = fine.withColumn("rolling_amount", F.sum("amount").over(w).cast("decimal(38,10)"))
+    for policy in (SPLIT, WHOLE):
+        got = with_rolling_totals(fine, "1 minute", policy).drop("rolling_count")
+        got = got.withColumn("rolling_amount", F.col("rolling_amount").cast("decimal(38,10)"))
+        assert as_rows(got) == as_rows(expected)
