@@ -7,14 +7,17 @@ from __future__ import annotations
 
 import argparse
 
+from tallywright.operators import bronze
 from tallywright.operators.reports import show
 from tallywright.operators.rules import FraudRules
 from tallywright.plans.fraud import fraud_reports, print_reports
 from tallywright.plans.ingest import ingest_report, ingest_transactions
 from tallywright.schemas import CARD_FEED
 from tallywright.session import CatalogConfig, SessionConfig, fresh_folder
-from tallywright.sources import id_range, make_transactions
+from tallywright.sources import id_range, make_transactions, transactions_from_events
+from tallywright.sources.tables import read_card_transactions
 from tallywright.streaming import event_stream, run_windows, window_counts
+from tallywright.streaming.jobs import MAX_FILES_PER_BATCH
 
 
 def parser() -> argparse.ArgumentParser:
@@ -28,7 +31,8 @@ def parser() -> argparse.ArgumentParser:
     fraud.add_argument("--format", choices=["parquet", "csv", "json"], default="parquet")
     fraud.add_argument("--risky-category", default=FraudRules.risky_category)
 
-    ingest = jobs.add_parser("ingest", help="write synthetic transactions to a table")
+    ingest = jobs.add_parser("ingest", help="write transactions to a table")
+    ingest.add_argument("--input", help="Parquet events to ingest; generated ids without it")
     ingest.add_argument("--table", required=True)
     ingest.add_argument("--rows", type=int, default=100_000)
     ingest.add_argument("--partitions", type=int, default=16)
@@ -40,28 +44,30 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--folder", required=True)
     stream.add_argument("--table", default="events")
     stream.add_argument("--watermark", default="1 day")
-    stream.add_argument("--max-files", type=int)
+    stream.add_argument("--max-files", type=int, default=MAX_FILES_PER_BATCH)
     return top
 
 
 def run_fraud(spark, args) -> None:
-    reader = spark.read
-    if args.format != "parquet":
-        reader = reader.schema(CARD_FEED)
-    raw = reader.format(args.format).load(args.input)
+    if args.format == "parquet":
+        raw = read_card_transactions(spark, args.input)
+    else:
+        raw = spark.read.schema(CARD_FEED).format(args.format).load(args.input)
     reports = fraud_reports(raw, FraudRules(risky_category=args.risky_category))
     print_reports(reports)
     reports.close()
 
 
 def run_ingest(spark, args) -> None:
-    rows = make_transactions(
-        id_range(spark, args.rows, args.partitions), args.batch_id, draws=args.draws
-    )
-    external = args.table.count(".") > 1
+    if args.input:
+        rows, needed = transactions_from_events(spark.read.parquet(args.input), args.batch_id), None
+    else:
+        ids = id_range(spark, args.rows, args.partitions)
+        rows, needed = make_transactions(ids, args.batch_id, draws=args.draws), args.rows
+    external = bronze.is_v2(spark, args.table)
     location = None if external else args.location or fresh_folder(spark, "bronze")
     table = ingest_transactions(
-        rows, args.table, args.rows, "iceberg" if external else "parquet", location
+        rows, args.table, needed, "iceberg" if external else "parquet", location
     )
     show(ingest_report(table), "Records per merchant category", truncate=False)
 

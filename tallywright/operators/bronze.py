@@ -24,10 +24,16 @@ COMPRESSION = "zstd"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
-def _is_v2(spark: SparkSession, identifier: str) -> bool:
-    """Whether the name points into a catalog other than the session's own."""
-    parts = identifier.split(".")
-    return len(parts) > 2 and parts[0] != "spark_catalog"
+def is_v2(spark: SparkSession, identifier: str) -> bool:
+    """Whether the table belongs to a catalog other than the session's own.
+
+    A name's first part is a catalog if one is configured by it; else the session's
+    current catalog holds the table.
+    """
+    first, *rest = identifier.split(".")
+    named = bool(rest) and spark.conf.get(f"spark.sql.catalog.{first}", None) is not None
+    catalog = first if named or first == "spark_catalog" else spark.catalog.currentCatalog()
+    return catalog != "spark_catalog"
 
 
 def create_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
@@ -79,7 +85,7 @@ def overwrite_partitions(
 ) -> None:
     """Replace the partitions present in ``df``; others stay. Columns go by name."""
     spark = df.sparkSession
-    if _is_v2(spark, identifier):
+    if is_v2(spark, identifier):
         df.writeTo(identifier).option("check-ordering", "false").overwritePartitions()
         return
     by_name = df.select(*spark.table(identifier).columns)

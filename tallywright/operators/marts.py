@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tallywright.functions.money import exact_sum
 from tallywright.operators.quality import has_key
 
 
@@ -26,6 +29,20 @@ def keep_latest(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) ->
     )
 
 
+def silver_refused(
+    df: DataFrame, keys: Sequence[str], valid: Column | None = None
+) -> DataFrame:
+    """The rows that :func:`silver_clean` does not take, with the reason.
+
+    ``reason`` is ``key`` where a part of the key is NULL, else ``invalid``, which a
+    NULL condition counts as. Refused and taken rows are all rows; what the latest
+    row of a key replaces is taken.
+    """
+    sound = F.lit(True) if valid is None else F.coalesce(valid, F.lit(False))
+    reason = F.when(~has_key(keys), "key").when(~sound, "invalid")
+    return df.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+
+
 def silver_clean(
     df: DataFrame,
     keys: Sequence[str],
@@ -72,9 +89,16 @@ def bars(
 ) -> DataFrame:
     """Open, high, low, close, volume and tick count per period and symbol.
 
-    Everything combines on the map side, so a busy symbol is not gathered.
+    Everything combines on the map side, so a busy symbol is not gathered. Instant
+    and a whole-number id are packed into one decimal, which a hash aggregate can
+    order by; text ids need a struct and a sort.
     """
     when = F.struct(at, tie_break)
+    if isinstance(ticks.schema[tie_break].dataType, T.IntegralType):
+        micros = F.unix_micros(F.col(at).cast("timestamp")).cast("decimal(19,0)")
+        # Ids below zero stay in order once all are lifted by the range of a long.
+        place = F.col(tie_break).cast("decimal(20,0)") + F.lit(Decimal(2**63))
+        when = (micros * F.lit(Decimal(10**19)) + place).cast("decimal(38,0)")
     return ticks.groupBy(
         period_of(at, grain).alias("period"), F.col(symbol).alias("symbol")
     ).agg(
@@ -82,7 +106,7 @@ def bars(
         F.max(price).alias("high"),
         F.min(price).alias("low"),
         F.max_by(price, when).alias("close"),
-        F.round(F.sum(price), 2).alias("volume"),
+        F.round(exact_sum(price), 2).alias("volume"),
         F.count(F.lit(1)).alias("ticks"),
     )
 
@@ -93,7 +117,7 @@ def sector_prices(
     """The price of a sector in a period: its summed amount."""
     return rows.groupBy(
         period_of(at, grain).alias("period"), F.col(sector).alias("sector")
-    ).agg(F.round(F.sum(price), 2).alias("close"))
+    ).agg(F.round(exact_sum(price), 2).alias("close"))
 
 
 def _by_sector() -> W:
@@ -117,9 +141,21 @@ def month_number(period: Column) -> Column:
     return (F.year(period) - 1970) * 12 + F.month(period) - 1
 
 
-def trend_forecast(prices: DataFrame) -> DataFrame:
-    """Least-squares line through a sector's months, and its value one month on."""
-    x = month_number(F.col("period")).cast("double")
+def day_number(period: Column) -> Column:
+    return F.unix_date(period)
+
+
+def trend_forecast(prices: DataFrame, grain: str = "month") -> DataFrame:
+    """Least-squares line through a sector's periods, and its value one period on.
+
+    Months are counted by their number, days by theirs, so months of other lengths
+    are one step apart.
+    """
+    if grain not in ("month", "day"):
+        raise ValueError(f"no trend by {grain!r}")
+    number = month_number if grain == "month" else day_number
+    last = F.max("period")
+    x = number(F.col("period")).cast("double")
     y = F.col("close")
     return (
         prices.groupBy("sector")
@@ -127,10 +163,10 @@ def trend_forecast(prices: DataFrame) -> DataFrame:
             F.count(y).alias("periods"),
             F.regr_slope(y, x).alias("slope"),
             F.regr_intercept(y, x).alias("intercept"),
-            F.add_months(F.max("period"), 1).alias("next_period"),
+            (F.add_months(last, 1) if grain == "month" else F.date_add(last, 1)).alias("next_period"),
         )
         .withColumn(
             "forecast",
-            F.col("slope") * month_number(F.col("next_period")) + F.col("intercept"),
+            F.col("slope") * number(F.col("next_period")) + F.col("intercept"),
         )
     )

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallywright.schemas import EXPECTATION_RESULT
+
 
 class DataQualityError(RuntimeError):
     """Raised where a failed check has to stop what comes after it."""
@@ -27,8 +29,11 @@ def rejected(df: DataFrame, amount: str = "amount") -> DataFrame:
 
 
 def unclassified(df: DataFrame, amount: str = "amount") -> DataFrame:
-    """Rows whose amount is NULL or NaN, which the two branches do not tell apart."""
-    return df.filter(F.col(amount).isNull() | _is_nan(df, amount))
+    """Rows whose amount is NULL, which are in neither branch.
+
+    NaN compares as the largest amount, so it is accepted; the gate counts it apart.
+    """
+    return df.filter(F.col(amount).isNull())
 
 
 def _is_nan(df: DataFrame, column: str) -> Column:
@@ -38,7 +43,10 @@ def _is_nan(df: DataFrame, column: str) -> Column:
 
 
 def gate_counts(df: DataFrame, amount: str = "amount") -> DataFrame:
-    """One row with all, accepted, rejected and unclassified rows, in one pass."""
+    """One row with all, accepted, rejected and unclassified rows, in one pass.
+
+    The three classes add up to all rows; ``nan_rows`` are among the accepted.
+    """
     return df.agg(*_gate_measures(df, amount))
 
 
@@ -48,7 +56,8 @@ def _gate_measures(df: DataFrame, amount: str) -> list[Column]:
         F.count(F.lit(1)).alias("input_rows"),
         F.count_if(value > 0).alias("accepted_rows"),
         F.count_if(value <= 0).alias("rejected_rows"),
-        F.count_if(value.isNull() | _is_nan(df, amount)).alias("unclassified_rows"),
+        F.count_if(value.isNull()).alias("unclassified_rows"),
+        F.count_if(_is_nan(df, amount)).alias("nan_rows"),
     ]
 
 
@@ -100,6 +109,8 @@ def check(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
     very often costs no more than any other.
     """
     row_checks = [e for e in expectations if not e.unique]
+    if not expectations:
+        return df.sparkSession.createDataFrame([], EXPECTATION_RESULT)
     parts = []
     if row_checks:
         totals = df.agg(

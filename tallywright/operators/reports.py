@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallywright.functions.money import MONEY, exact_sum
+
 SAMPLE_COLUMNS = (
     "transaction_id",
     "customer_id",
@@ -24,15 +26,19 @@ def report_cube(flagged: DataFrame) -> DataFrame:
     return flagged.groupBy("is_fraudulent", "merchant_category", "card_type").agg(
         F.count("transaction_id").alias("tx_count"),
         F.count(F.lit(1)).alias("row_count"),
-        F.sum("amount").alias("volume"),
+        F.sum(F.col("amount").try_cast(MONEY)).alias("volume"),
+        F.sum(F.when(F.col("amount").try_cast(MONEY).isNull(), F.col("amount")).cast("double")).alias("odd_volume"),
     )
 
 
 def _measures(df: DataFrame) -> tuple[Column, Column, Column]:
     """Id count, volume and rows per input row, for rows or for a cube of them."""
     if "row_count" in df.columns:
-        return F.sum("tx_count"), F.sum("volume"), F.col("row_count")
-    return F.count("transaction_id"), F.sum("amount"), F.lit(1)
+        odd = F.sum("odd_volume")
+        exact = F.sum("volume").cast("double")
+        volume = F.when(odd.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + odd)
+        return F.sum("tx_count"), volume, F.col("row_count")
+    return F.count("transaction_id"), exact_sum("amount"), F.lit(1)
 
 
 def fraud_summary(flagged: DataFrame) -> DataFrame:
@@ -88,10 +94,10 @@ def category_share(df: DataFrame) -> DataFrame:
     so Spark reuses the exchange and the transactions are scanned once.
     """
     per_category = df.groupBy("merchant_category").agg(
-        F.count("transaction_id").alias("tx_count"), F.sum("amount").alias("volume")
+        F.count("transaction_id").alias("tx_count"), exact_sum("amount").alias("volume")
     )
     whole = per_category.agg(
-        F.struct(F.sum("tx_count").alias("tx_count"), F.sum("volume").alias("volume"))
+        F.struct(F.sum("tx_count").alias("tx_count"), exact_sum("volume").alias("volume"))
     ).scalar()
     return per_category.select(
         "merchant_category",

@@ -84,6 +84,15 @@ volatile AS (
       PARTITION BY sector ORDER BY period ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS volatility
   FROM returns)"""
 
+DAILY = """
+closes AS (
+  SELECT CAST(ts AS DATE) AS period, event_type AS symbol,
+         arg_max(value, (ts, event_id)) AS close
+  FROM events GROUP BY 1, 2),
+returns AS (
+  SELECT *, close / nullif(lag(close) OVER (PARTITION BY symbol ORDER BY period), 0) - 1
+            AS period_return FROM closes)"""
+
 
 def _windows(name: str, source: str) -> str:
     return f"""
@@ -120,7 +129,8 @@ WHERE merchant_category = 'error'""",
 WITH {RAW}
 SELECT count(*) AS input_rows, count(*) FILTER (WHERE amount > 0) AS accepted_rows,
        count(*) FILTER (WHERE amount <= 0) AS rejected_rows,
-       count(*) FILTER (WHERE amount IS NULL OR isnan(amount)) AS unclassified_rows
+       count(*) FILTER (WHERE amount IS NULL) AS unclassified_rows,
+       count(*) FILTER (WHERE isnan(amount)) AS nan_rows
 FROM raw""",
     "dq_balances": "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal <= 0",
     "customer_profile": f"""
@@ -169,6 +179,25 @@ FROM flagged GROUP BY card_type ORDER BY fraud_percentage DESC, card_type""",
 WITH {FLAGGED}
 SELECT transaction_id, customer_id, "timestamp", amount, merchant_category, card_type
 FROM flagged WHERE is_fraudulent ORDER BY transaction_id LIMIT 10""",
+    "fraud_job": f"""
+WITH {FLAGGED},
+gate AS (
+  SELECT count(*) AS input_rows, count(*) FILTER (WHERE amount > 0) AS accepted_rows,
+         count(*) FILTER (WHERE amount <= 0) AS rejected_rows,
+         count(*) FILTER (WHERE amount IS NULL) AS unclassified_rows,
+         count(*) FILTER (WHERE isnan(amount)) AS nan_rows FROM raw)
+SELECT 'gate' AS report, item, transactions, CAST(NULL AS DOUBLE) AS measure
+FROM (UNPIVOT gate ON COLUMNS(*) INTO NAME item VALUE transactions)
+UNION ALL
+SELECT 'summary', CAST(is_fraudulent AS VARCHAR), count(transaction_id), round(sum(amount), 2)
+FROM flagged GROUP BY is_fraudulent
+UNION ALL
+SELECT 'category', merchant_category, count(transaction_id), round(sum(amount), 2)
+FROM flagged WHERE is_fraudulent GROUP BY merchant_category
+UNION ALL
+SELECT 'card', card_type, count(*) FILTER (WHERE is_fraudulent),
+       round(count(*) FILTER (WHERE is_fraudulent) / count(transaction_id) * 100, 2)
+FROM flagged GROUP BY card_type""",
     "category_share": f"""
 WITH {VALID}
 SELECT merchant_category, count(transaction_id) AS tx_count, round(sum(amount), 2) AS volume,
@@ -232,8 +261,30 @@ SELECT CAST(ts AS DATE) AS period, event_type AS symbol,
        count(*) AS ticks
 FROM events GROUP BY 1, 2""",
     "daily_returns": f"""
+WITH {DAILY}
+SELECT period, symbol, close, round(period_return, 6) AS period_return FROM returns""",
+    "daily_volatility": f"""
+WITH {DAILY}
+SELECT period, symbol, close, round(period_return, 6) AS period_return,
+       round(stddev_samp(period_return) OVER (
+         PARTITION BY symbol ORDER BY period ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6)
+         AS volatility FROM returns""",
+    "daily_trend": f"""
+WITH {DAILY},
+points AS (SELECT *, (period - DATE '1970-01-01')::DOUBLE AS x FROM closes),
+fits AS (
+  SELECT symbol, count(close) AS periods, regr_slope(close, x) AS slope,
+         regr_intercept(close, x) AS intercept, max(x) + 1 AS next_x,
+         max(period) + 1 AS next_period
+  FROM points GROUP BY symbol)
+SELECT symbol, periods, round(slope, 2) AS slope, round(intercept, 2) AS intercept, next_period,
+       round(slope * next_x + intercept, 2) AS forecast FROM fits""",
+    "monthly_returns": f"""
 WITH {MONTHLY}
 SELECT period, sector, close, round(period_return, 6) AS period_return FROM returns""",
+    "silver_refused": """
+SELECT event_id, value, CASE WHEN event_type = 'error' THEN 'key' ELSE 'invalid' END AS reason
+FROM events WHERE event_type = 'error' OR NOT coalesce(value > 10, FALSE)""",
     "volatility": f"""
 WITH {MONTHLY}
 SELECT period, sector, close, round(period_return, 6) AS period_return,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +17,10 @@ from tallywright.operators.velocity import (
     with_rolling_totals,
     with_velocity_flag,
 )
-from tallywright.plans.fraud import flag_transactions, score_transactions
+from tallywright.plans.fraud import flag_transactions, fraud_reports, score_transactions
 from tallywright.plans.ingest import ingest_report, ingest_transactions
 from tallywright.plans.marts import build_gold
-from tallywright.session import fresh_folder, pin_time_zone
+from tallywright.session import fresh_folder, pin_time_zone, written
 from tallywright.sources import (
     card_transactions_from_events,
     event_amount,
@@ -164,6 +165,28 @@ def fraud_samples(spark: SparkSession, sf: str) -> DataFrame:
     return reports.fraud_samples(_flagged(spark, sf))
 
 
+def fraud_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole job as one table: gate counts seen by the profile pass, and the reports
+    read from one cube, which is written and released."""
+    out = fraud_reports(_raw(spark, sf), RULES)
+    gate = spark.createDataFrame(
+        [("gate", name, count, None) for name, count in out.gate.items()],
+        "report string, item string, transactions long, measure double",
+    )
+    lines = [
+        out.summary.select(
+            F.lit("summary"), F.col("is_fraudulent").cast("string"), "tx_count", "total_volume"
+        ),
+        out.by_category.select(
+            F.lit("category"), "merchant_category", "fraud_count", "fraud_volume"
+        ),
+        out.by_card.select(F.lit("card"), "card_type", "fraud_tx_count", "fraud_percentage"),
+    ]
+    kept = written(reduce(DataFrame.union, lines, gate), "fraud-job")
+    out.close()
+    return kept
+
+
 def category_share(spark: SparkSession, sf: str) -> DataFrame:
     return reports.category_share(_valid(spark, sf))
 
@@ -300,7 +323,31 @@ def _monthly_prices(spark: SparkSession, sf: str) -> DataFrame:
     return marts.sector_prices(orders, "o_orderpriority", "o_totalprice", "o_orderdate", "month")
 
 
+def _daily_closes(spark: SparkSession, sf: str) -> DataFrame:
+    return daily_ohlc(spark, sf).select("period", F.col("symbol").alias("sector"), "close")
+
+
+def _by_symbol(df: DataFrame) -> DataFrame:
+    return df.withColumnRenamed("sector", "symbol")
+
+
 def daily_returns(spark: SparkSession, sf: str) -> DataFrame:
+    """Change of each symbol's daily close."""
+    out = marts.period_returns(_daily_closes(spark, sf))
+    return _by_symbol(_rounded(out, 6, "period_return"))
+
+
+def daily_volatility(spark: SparkSession, sf: str) -> DataFrame:
+    out = marts.volatility(marts.period_returns(_daily_closes(spark, sf)))
+    return _by_symbol(_rounded(out, 6, "period_return", "volatility"))
+
+
+def daily_trend(spark: SparkSession, sf: str) -> DataFrame:
+    out = marts.trend_forecast(_daily_closes(spark, sf), "day")
+    return _by_symbol(_rounded(out, 2, "slope", "intercept", "forecast"))
+
+
+def monthly_returns(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(marts.period_returns(_monthly_prices(spark, sf)), 6, "period_return")
 
 
@@ -320,6 +367,15 @@ def asof_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     return marts.as_of(events, "user_id", "ts", AS_OF, ["event_id"])
 
 
+def silver_refused(spark: SparkSession, sf: str) -> DataFrame:
+    """Events the cleaning refuses, with the reason; errors stand for a missing key."""
+    events = read_table(spark, sf, "events").withColumn(
+        "user_id", F.when(F.col("event_type") != "error", F.col("user_id"))
+    )
+    out = marts.silver_refused(events, ["event_id", "user_id"], F.col("value") > 10)
+    return out.select("event_id", "value", "reason")
+
+
 def dq_suite(spark: SparkSession, sf: str) -> DataFrame:
     customers = quality.check(
         read_table(spark, sf, "customer"),
@@ -444,6 +500,7 @@ REGISTERED: tuple[Query, ...] = (
     fraud_by_category,
     fraud_by_card,
     fraud_samples,
+    fraud_job,
     category_share,
     velocity_lag,
     velocity_rolling,
@@ -457,6 +514,10 @@ REGISTERED: tuple[Query, ...] = (
     silver_clean,
     daily_ohlc,
     daily_returns,
+    daily_volatility,
+    daily_trend,
+    monthly_returns,
+    silver_refused,
     volatility,
     gold_volatility,
     asof_snapshot,

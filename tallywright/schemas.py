@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import types as T
 
 CARD_TRANSACTIONS = T.StructType(
@@ -24,6 +26,7 @@ CARD_FEED = T.StructType(
     ]
 )
 
+# The columns of the transaction table.
 TRANSACTIONS_BRONZE = T.StructType(
     [
         T.StructField("transaction_id", T.StringType()),
@@ -55,6 +58,46 @@ EXPECTATION_RESULT = T.StructType(
 )
 
 
+#: What the given tables must hold at least; other columns may stand beside these.
+GIVEN_TABLES = {
+    "events": {
+        "event_id": "bigint",
+        "ts": "timestamp_ntz",
+        "user_id": "bigint",
+        "event_type": "string",
+        "value": "double",
+    },
+    "orders": {
+        "o_orderkey": "bigint",
+        "o_custkey": "bigint",
+        "o_orderstatus": "string",
+        "o_totalprice": "double",
+        "o_orderdate": "timestamp_ntz",
+        "o_orderpriority": "string",
+    },
+    "customer": {"c_custkey": "bigint", "c_acctbal": "double"},
+    "lineitem": {
+        "l_orderkey": "bigint",
+        "l_linenumber": "int",
+        "l_quantity": "double",
+        "l_discount": "double",
+        "l_shipdate": "timestamp_ntz",
+    },
+}
+
+
+class SchemaError(ValueError):
+    """A table does not have the columns it is read for."""
+
+
+def require_columns(found: T.StructType, wanted: Mapping[str, str], label: str) -> None:
+    """Raise unless ``found`` has every wanted column in its type."""
+    types = {f.name: f.dataType.simpleString() for f in found}
+    wrong = [f"{n} {types.get(n, 'missing')} instead of {t}" for n, t in wanted.items() if types.get(n) != t]
+    if wrong:
+        raise SchemaError(f"{label}: {', '.join(wrong)}")
+
+
 def column_ddl(schema: T.StructType) -> str:
     """The column list of a CREATE TABLE statement."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywright.functions import cycle
+from tallywright.schemas import CARD_FEED, CARD_TRANSACTIONS, GIVEN_TABLES, require_columns
 
 # Fixed values of the card feed.
 CARD_TYPES = ["Visa", "Mastercard", "Amex"]
@@ -16,8 +17,22 @@ INVALID_EVERY = 97
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A Parquet table of ``folder``, either one file or a folder of part files."""
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    """A Parquet table of ``folder``, either one file or a folder of part files.
+
+    Columns of a known table are checked before anything runs on them.
+    """
+    table = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    require_columns(table.schema, GIVEN_TABLES.get(name, {}), name)
+    return table
+
+
+def read_card_transactions(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet feed of card transactions, whose time may still be text."""
+    feed = spark.read.parquet(path)
+    text = isinstance(feed.schema["timestamp"].dataType, T.StringType) if "timestamp" in feed.columns else False
+    wanted = CARD_FEED if text else CARD_TRANSACTIONS
+    require_columns(feed.schema, {f.name: f.dataType.simpleString() for f in wanted}, path)
+    return feed
 
 
 def read_catalog_table(spark: SparkSession, identifier: str) -> DataFrame:

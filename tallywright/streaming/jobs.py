@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywright.functions import to_event_time
+from tallywright.functions.money import exact_sum
 from tallywright.operators.bronze import COMPRESSION
 from tallywright.session import fresh_folder, temporary_settings
 
+MAX_FILES_PER_BATCH = 1_000
+
 
 def event_stream(
     spark: SparkSession,
@@ -19,15 +22,16 @@ def event_stream(
     name: str,
     schema: T.StructType,
     at: str,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int = MAX_FILES_PER_BATCH,
 ) -> DataFrame:
     """A file stream over one table of ``folder``, with ``at`` ready for a watermark.
 
-    The brace pattern matches the table whether it is one file or a folder.
+    The brace pattern matches the table whether it is one file or a folder. A
+    micro-batch takes at most ``max_files_per_trigger`` files, so a large backlog
+    is worked off in steps that each leave a point to go on from.
     """
     reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(f"{folder.rstrip('/')}/{{{name}.parquet}}")
     return stream.withColumn(at, to_event_time(F.col(at)))
 
@@ -53,7 +57,7 @@ def window_counts(
         timed = timed.withWatermark(at, watermark)
     return (
         timed.groupBy(F.window(at, window), *keys)
-        .agg(F.count(F.lit(1)).alias("events"), F.round(F.sum(value), 2).alias("total"))
+        .agg(F.count(F.lit(1)).alias("events"), F.round(exact_sum(value), 2).alias("total"))
         .select(F.col("window.start").alias("window_start"), *keys, "events", "total")
     )
 

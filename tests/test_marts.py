@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallywright.operators import marts, reconcile
 from tallywright.operators.quality import DataQualityError
@@ -56,6 +57,21 @@ def test_trend_of_a_straight_line(spark):
     assert round(fit["forecast"], 6) == 10.0 + 2.5 * 18
 
 
+def test_trend_by_day(spark):
+    rows = [("A", date(2024, 2, 20 + d), 3.0 + 0.5 * d) for d in range(10)]
+    line = spark.createDataFrame(rows, "sector string, period date, close double")
+    fit = marts.trend_forecast(line, "day").first()
+    assert fit["next_period"] == date(2024, 3, 1)
+    assert (round(fit["slope"], 9), round(fit["forecast"], 6)) == (0.5, 8.0)
+
+
+def test_silver_tells_what_it_refused(spark):
+    rows = spark.createDataFrame([(1, 5), (None, 5), (2, 0), (3, None)], "k int, n int")
+    refused = marts.silver_refused(rows, ["k"], F.col("n") > 0)
+    assert sorted(r["reason"] for r in refused.collect()) == ["invalid", "invalid", "key"]
+    assert marts.silver_clean(rows, ["k"], "n", F.col("n") > 0).count() == 1
+
+
 def test_silver_normalises_and_keeps_the_latest(spark):
     rows = spark.createDataFrame(
         [
@@ -103,7 +119,7 @@ def orders(spark, *rows):
     return spark.createDataFrame(full, schema)
 
 
-def test_gold_is_written_by_period_and_sector(spark, tmp_path):
+def test_gold_is_written_by_year(spark, tmp_path):
     path = tmp_path / "gold"
     good = orders(spark, (1, 100.0, 1, "A"), (2, 150.0, 2, " a"), (2, 90.0, 1, "A"), (3, 0.0, 3, "A"))
     gold = build_gold(good, str(path))
@@ -111,7 +127,7 @@ def test_gold_is_written_by_period_and_sector(spark, tmp_path):
         (date(2024, 1, 1), "A", 100.0, None),
         (date(2024, 2, 1), "A", 150.0, 0.5),
     ]
-    assert (path / "period=2024-02-01" / "sector=A").is_dir()
+    assert len(list((path / "period_year=2024").glob("*.parquet"))) == 1
 
 
 def test_failed_gate_halts_before_the_write(spark, tmp_path):

@@ -63,3 +63,9 @@ def test_require_rows(rows):
     assert quality.require_rows(rows, 5, "rows") == 5
     with pytest.raises(RuntimeError, match="found 5"):
         quality.require_rows(rows, 6, "rows")
+
+
+def test_no_expectations_give_no_results(rows):
+    empty = quality.check(rows, [])
+    assert empty.count() == 0 and "success" in empty.columns
+    quality.halt_on_failure(empty)
