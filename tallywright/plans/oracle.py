@@ -330,6 +330,10 @@ SELECT sector, periods, round(slope, 2) AS slope, round(intercept, 2) AS interce
     "stream_windows": f"WITH {_windows('counted', 'events')} SELECT * FROM counted",
     "stream_ingest": f"""
 WITH {VALID} SELECT *, CAST("timestamp" AS DATE) AS processing_date FROM valid""",
+    "stream_bronze": f"""
+WITH {SYNTHETIC}
+SELECT * EXCLUDE (ingestion_batch_id) REPLACE (CAST(amount AS DOUBLE) AS amount) FROM synthetic""",
+    "reconcile_bronze": "SELECT 'equal' AS status, count(*) AS keys FROM events",
     "reconcile_windows": f"""
 WITH {_windows('counted', 'events')} SELECT 'equal' AS status, count(*) AS keys FROM counted""",
     "reconcile_gate": f"""

@@ -29,7 +29,9 @@ from tallywright.sources import (
     read_table,
     transactions_from_events,
 )
-from tallywright.streaming import event_stream, ingest, run_windows, window_counts
+from tallywright.schemas import TRANSACTIONS_BRONZE
+from tallywright.streaming import event_stream, ingest, ingest_table, run_windows, window_counts
+from tallywright.streaming.jobs import BY_DATE_AND_BATCH
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -454,6 +456,32 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return _plain_time(_ingested_stream(stream, ["processing_date"]), "timestamp")
 
 
+def _streamed_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    target = _new_table(spark)
+    identifier = target["identifier"]
+    bronze.create_namespace(spark, "bronze", target["namespace_location"])
+    bronze.create_table(
+        spark, identifier, TRANSACTIONS_BRONZE, BY_DATE_AND_BATCH, location=target["location"]
+    )
+    created = F.lit(CREATED_AT).cast("timestamp")
+    stream = transactions_from_events(_event_stream(spark, sf), BATCH_ID, created)
+    ingest_table(stream, identifier, fresh_folder(spark, "bronze-progress"))
+    return read_catalog_table(spark, identifier).drop("ingestion_batch_id")
+
+
+def stream_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    """Events streamed into the transaction table, read back."""
+    return _comparable(_streamed_bronze(spark, sf))
+
+
+def reconcile_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    """The batch table against the streamed one: every transaction is equal."""
+    batch = read_catalog_table(spark, _ingested(spark, sf)).drop("ingestion_batch_id")
+    measures = [c for c in batch.columns if c != "transaction_id"]
+    compared = reconcile.compare(batch, _streamed_bronze(spark, sf), ["transaction_id"], measures)
+    return reconcile.status_counts(compared)
+
+
 def reconcile_windows(spark: SparkSession, sf: str) -> DataFrame:
     """Batch and stream over the same rows: every window is equal."""
     compared = reconcile.compare(
@@ -525,6 +553,8 @@ REGISTERED: tuple[Query, ...] = (
     trend_forecast,
     stream_windows,
     stream_ingest,
+    stream_bronze,
+    reconcile_bronze,
     reconcile_windows,
     reconcile_gate,
     reconcile_rows,

@@ -10,10 +10,11 @@ from pyspark.sql import types as T
 
 from tallywright.functions import to_event_time
 from tallywright.functions.money import exact_sum
-from tallywright.operators.bronze import COMPRESSION
+from tallywright.operators.bronze import COMPRESSION, overwrite_partitions
 from tallywright.session import fresh_folder, temporary_settings
 
 MAX_FILES_PER_BATCH = 1_000
+BY_DATE_AND_BATCH = ("processing_date", "ingestion_batch_id")
 
 
 def event_stream(
@@ -81,6 +82,32 @@ def ingest(stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence
     query.awaitTermination()
 
 
+def ingest_table(
+    stream: DataFrame, identifier: str, checkpoint: str, batch_prefix: str = "stream"
+) -> None:
+    """Write all that is available into a transaction table, each row exactly once.
+
+    The table is partitioned by :data:`BY_DATE_AND_BATCH`. Every micro-batch replaces the
+    partitions that carry its own number, so one that is run again after a lost driver
+    has no further effect, and other batches of the same date stay. Writes are rebalanced
+    by partition, as in the batch ingest.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        named = batch.withColumn("ingestion_batch_id", F.lit(f"{batch_prefix}-{batch_id}"))
+        overwrite_partitions(named, identifier, BY_DATE_AND_BATCH)
+
+    query = (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    # Batches are written in a session of their own; this one may have listed older files.
+    stream.sparkSession.catalog.refreshTable(identifier)
+
+
 def run_windows(
     counted: DataFrame,
     keys: Sequence[str],

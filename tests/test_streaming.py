@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallywright.operators import reconcile
-from tallywright.streaming import event_stream, ingest, run_windows, window_counts
+from tallywright.operators import bronze, reconcile
+from tallywright.schemas import TRANSACTIONS_BRONZE
+from tallywright.sources import transactions_from_events
+from tallywright.streaming import event_stream, ingest, ingest_table, run_windows, window_counts
+from tallywright.streaming.jobs import BY_DATE_AND_BATCH
 
 SCHEMA = "event_id long, ts timestamp_ntz, event_type string, value double"
 START = datetime(2024, 1, 1)
@@ -96,3 +100,25 @@ def test_one_file_or_a_folder(spark, sf_small):
     stream = event_stream(spark, sf_small, "events", schema, "ts")
     assert stream.isStreaming
     assert stream.schema["ts"].dataType.simpleString() == "timestamp"
+
+
+def test_stream_into_a_table_is_idempotent(spark, folder, tmp_path):
+    """Three batches, a restart, and all of it once more from the start."""
+    path = str(folder / "events.parquet")
+    for first in range(0, 90, 30):
+        events(spark, first, first + 30).withColumn("user_id", F.col("event_id")).write.mode("append").parquet(path)
+    name = f"bronze_stream.t_{uuid.uuid4().hex}"
+    bronze.create_namespace(spark, "bronze_stream", str(tmp_path / "namespace"))
+    bronze.create_table(spark, name, TRANSACTIONS_BRONZE, BY_DATE_AND_BATCH, location=str(tmp_path / "table"))
+    schema = spark.read.parquet(path).schema
+
+    def run(progress):
+        stream = event_stream(spark, str(folder), "events", schema, "ts", 1)
+        ingest_table(transactions_from_events(stream), name, str(tmp_path / progress))
+        table = spark.table(name)
+        return table.count(), table.select("ingestion_batch_id").distinct().count()
+
+    assert run("one") == (90, 3)
+    events(spark, 90, 100).withColumn("user_id", F.col("event_id")).write.mode("append").parquet(path)
+    assert run("one") == (100, 4)
+    assert run("two") == (100, 4)
