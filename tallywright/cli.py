@@ -13,7 +13,13 @@ from tallywright.operators.rules import FraudRules
 from tallywright.plans.fraud import fraud_reports, print_reports
 from tallywright.plans.ingest import ingest_report, ingest_transactions
 from tallywright.schemas import CARD_FEED
-from tallywright.session import CatalogConfig, SessionConfig, fresh_folder
+from tallywright.session import (
+    CatalogConfig,
+    SessionConfig,
+    fit_shuffle_partitions,
+    fresh_folder,
+    scratch,
+)
 from tallywright.sources import id_range, make_transactions, transactions_from_events
 from tallywright.sources.tables import read_card_transactions
 from tallywright.streaming import event_stream, run_windows, window_counts
@@ -23,7 +29,7 @@ from tallywright.streaming.jobs import MAX_FILES_PER_BATCH
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="tallywright")
     top.add_argument("--master")
-    top.add_argument("--shuffle-partitions", type=int, default=200)
+    top.add_argument("--shuffle-partitions", type=int, help="by default from the size of the input")
     jobs = top.add_subparsers(dest="job", required=True)
 
     fraud = jobs.add_parser("fraud", help="flag card transactions and print the reports")
@@ -84,10 +90,17 @@ def main(argv: list[str] | None = None) -> None:
     spark = SessionConfig(
         app_name=f"tallywright-{args.job}",
         master=args.master,
-        shuffle_partitions=args.shuffle_partitions,
+        shuffle_partitions=args.shuffle_partitions or 200,
         catalog=CatalogConfig.from_env(),
     ).build()
-    {"fraud": run_fraud, "ingest": run_ingest, "stream": run_stream}[args.job](spark, args)
+    inputs = [args.folder] if args.job == "stream" else [args.input] if args.input else []
+    if inputs and not args.shuffle_partitions:
+        fit_shuffle_partitions(spark, *inputs)
+    if args.job == "ingest":
+        run_ingest(spark, args)  # its table may lie in the shared folder, and stays
+        return
+    with scratch(spark):
+        {"fraud": run_fraud, "stream": run_stream}[args.job](spark, args)
 
 
 if __name__ == "__main__":

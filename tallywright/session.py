@@ -154,9 +154,54 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_scopes: list[list[str]] = []
+
+
+def _path(spark: SparkSession, folder: str):
+    """The Hadoop file system of a folder and its path there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete, on leaving, every folder that :func:`fresh_folder` handed out inside.
+
+    Frames that were built inside read these folders, so they must be used up, or their
+    results written elsewhere, before the block ends. Outside of any block folders stay.
+    """
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for folder in made:
+            files, path = _path(spark, folder)
+            files.delete(path, True)
+
+
+def fit_shuffle_partitions(spark: SparkSession, *folders: str) -> int:
+    """Set the shuffle width from the size of the input files; returns it.
+
+    Adaptive execution merges partitions that turn out small but never widens a shuffle,
+    so the width has to follow the input.
+    """
+    total = 0
+    for folder in folders:
+        files, path = _path(spark, folder)
+        total += files.getContentSummary(path).getLength()
+    wide = shuffle_partitions_for(total)
+    spark.conf.set("spark.sql.shuffle.partitions", str(wide))
+    return wide
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other call uses."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(folder)
+    return folder
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

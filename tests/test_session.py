@@ -61,6 +61,27 @@ def test_written_keeps_rows_and_schema(spark):
     assert sorted(back.collect()) == sorted(df.collect())
 
 
+def test_scratch_folders_are_deleted(spark):
+    from pathlib import Path
+
+    with session.scratch(spark):
+        inside = session.fresh_folder(spark, "inside")
+        spark.range(3).write.parquet(inside)
+        with session.scratch(spark):
+            inner = session.fresh_folder(spark, "inner")
+            spark.range(3).write.parquet(inner)
+        assert Path(inside).exists() and not Path(inner).exists()
+    outside = session.fresh_folder(spark, "outside")
+    spark.range(3).write.parquet(outside)
+    assert not Path(inside).exists() and Path(outside).exists()
+
+
+def test_shuffle_width_is_set_from_files(spark, sf_small):
+    with session.temporary_settings(spark, {"spark.sql.shuffle.partitions": "4"}):
+        assert session.fit_shuffle_partitions(spark, sf_small) == 200
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+
+
 def test_time_zone_is_pinned(spark):
     spark.conf.set("spark.sql.session.timeZone", "CET")
     session.pin_time_zone(spark)
