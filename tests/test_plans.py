@@ -5,11 +5,13 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from tallywright.functions.money import exact_sum
 from tallywright.operators import marts, reports
 from tallywright.operators.profile import attach_profile, profile_table
 from tallywright.operators.quality import accepted, check, rejected, unique
 from tallywright.operators.skew import SkewPolicy
 from tallywright.plans import queries as q
+from tallywright.schemas import SchemaError
 from tallywright.session import written
 from tallywright.sources import read_table
 
@@ -97,6 +99,7 @@ def test_rolling_totals_take_one_shuffle_and_a_growing_frame(spark, sf_small):
 def test_bars_combine_before_the_shuffle(spark, sf_small):
     text = plan(q.daily_ohlc(spark, sf_small))
     assert "partial_min_by" in text and text.count("Exchange") == 1
+    assert "SortAggregate" not in text and "Sort " not in text
 
 
 def test_unique_counts_combine_before_the_shuffle(spark, sf_small):
@@ -124,3 +127,37 @@ def test_period_is_taken_from_the_date(spark, sf_small):
     orders = read_table(spark, sf_small, "orders")
     text = plan(marts.sector_prices(orders, "o_orderpriority", "o_totalprice", "o_orderdate", "month"))
     assert "as timestamp" not in text
+
+
+def test_money_sums_do_not_depend_on_the_layout(spark):
+    rows = spark.range(0, 200_000).select(
+        (F.col("id") % 3 == 0).alias("is_fraudulent"),
+        F.lit("Retail").alias("merchant_category"),
+        F.lit("Visa").alias("card_type"),
+        F.col("id").alias("transaction_id"),
+        F.round(F.rand(3) * 1e9, 2).alias("amount"),
+    )
+    rows = written(rows, "money")
+    for report in (reports.fraud_summary, reports.fraud_by_category, reports.category_share):
+        found = {frozenset(map(tuple, report(rows.repartition(n)).collect())) for n in (1, 3, 16)}
+        assert len(found) == 1
+    cube = {frozenset(map(tuple, reports.fraud_summary(reports.report_cube(rows.repartition(n))).collect())) for n in (1, 5)}
+    assert cube == {frozenset(map(tuple, reports.fraud_summary(rows).collect()))}
+
+
+def test_exact_sum_keeps_odd_values(spark):
+    rows = spark.createDataFrame([(1, float("nan")), (2, 1e30), (2, 0.5), (3, None), (4, 0.1), (4, 0.2)], "k int, v double")
+    found = {r["k"]: r["s"] for r in rows.groupBy("k").agg(exact_sum("v").alias("s")).collect()}
+    assert found[1] != found[1] and found[2] == 1e30 + 0.5 and found[3] is None and found[4] == 0.3
+
+
+def test_wrong_columns_stop_before_the_plan(spark, tmp_path):
+    spark.range(3).selectExpr("id as event_id", "'x' as value").write.parquet(str(tmp_path / "events.parquet"))
+    with pytest.raises(SchemaError, match="ts missing instead of timestamp_ntz.*value string instead of double"):
+        read_table(spark, str(tmp_path), "events")
+
+
+def test_job_leaves_no_cached_cube(spark, sf_small):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    assert q.fraud_job(spark, sf_small).where("report = 'gate'").count() == 5
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
