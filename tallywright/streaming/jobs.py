@@ -39,9 +39,21 @@ def event_stream(
 
 def kafka_stream(spark: SparkSession, options: dict[str, str], schema: T.StructType) -> DataFrame:
     """The same events as JSON messages of a Kafka topic; needs the Kafka connector."""
-    messages = spark.readStream.format("kafka").options(**options).load()
-    parsed = F.from_json(F.col("value").cast("string"), schema)
-    return messages.select(parsed.alias("event")).select("event.*")
+    return parse_messages(spark.readStream.format("kafka").options(**options).load(), schema)
+
+
+def parse_messages(messages: DataFrame, schema: T.StructType) -> DataFrame:
+    """Events from messages, with ``topic``, ``partition`` and ``offset`` beside them.
+
+    ``malformed`` holds the text of a message that is no JSON of this schema, whose
+    columns are NULL then; it is NULL for all others.
+    """
+    wanted = T.StructType([*schema, T.StructField("malformed", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"}
+    parsed = F.from_json(F.col("value").cast("string"), wanted, options)
+    return messages.select(parsed.alias("event"), "topic", "partition", "offset").select(
+        "event.*", "topic", "partition", "offset"
+    )
 
 
 def window_counts(

@@ -7,12 +7,13 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywright.operators import bronze, reconcile
 from tallywright.schemas import TRANSACTIONS_BRONZE
 from tallywright.sources import transactions_from_events
 from tallywright.streaming import event_stream, ingest, ingest_table, run_windows, window_counts
-from tallywright.streaming.jobs import BY_DATE_AND_BATCH
+from tallywright.streaming.jobs import BY_DATE_AND_BATCH, parse_messages
 
 SCHEMA = "event_id long, ts timestamp_ntz, event_type string, value double"
 START = datetime(2024, 1, 1)
@@ -122,3 +123,13 @@ def test_stream_into_a_table_is_idempotent(spark, folder, tmp_path):
     events(spark, 90, 100).withColumn("user_id", F.col("event_id")).write.mode("append").parquet(path)
     assert run("one") == (100, 4)
     assert run("two") == (100, 4)
+
+
+def test_malformed_messages_keep_their_text(spark):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("kind", T.StringType())])
+    messages = spark.createDataFrame(
+        [('{"id": 1, "kind": "a"}', "t", 0, 5), ("no json", "t", 1, 6)],
+        "value string, topic string, partition int, offset long",
+    )
+    rows = [tuple(r) for r in parse_messages(messages, schema).collect()]
+    assert rows == [(1, "a", None, "t", 0, 5), (None, None, "no json", "t", 1, 6)]
