@@ -50,7 +50,7 @@ class Graph:
                 if done <= BATCH:
                     old, near = np.arange(done)[None, :].repeat(len(fresh), 0), self.near[fresh] @ self.near[:done].T
                 else:
-                    old, near = self._walk(self.near[fresh], self._enter(self.near[fresh], done), links[:done], BUILD_BEAM)
+                    old, near = self._walk(self.near[fresh], self._descend(self.near[fresh], len(self.layers)), links[:done], BUILD_BEAM)
                 found, sims = np.concatenate([old, found], axis=1), np.concatenate([near, sims], axis=1)
             width = min(BUILD_BEAM, found.shape[1])
             by = np.argsort(-sims, axis=1, kind="stable")[:, :width]
@@ -59,11 +59,8 @@ class Graph:
             done = end
         self.layers.append(links)
 
-    def _enter(self, queries: np.ndarray, below: int) -> np.ndarray:
-        """Where to start in the next layer: the best found in those built, or its first vectors."""
-        return self._descend(queries, len(self.layers)) if self.layers else np.zeros((len(queries), 1), np.int64)
-
     def _descend(self, queries: np.ndarray, layers: int) -> np.ndarray:
+        """Where to start below the first ``layers``: the best found there, else the first vector."""
         start = np.zeros((len(queries), 1), np.int64)
         for links in self.layers[:layers]:
             if len(links) <= BATCH:
