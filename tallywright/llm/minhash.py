@@ -20,10 +20,14 @@ from tallywright.llm.common import components, written
 from tallywright.llm.shingles import shingle_set, similar
 
 BANDS, ROWS, UNIVERSE_BITS, SEED = 32, 4, 20, 7
+#: Coordinates, of which the first go into bands, and the part of them alike that a pair needs.
+COORDINATES, ESTIMATE = 512, 0.68
+#: Members of a bucket that meet in one task are at most about twice as many.
+BLOCK = 256
 FIRST = np.uint64(0xA24BAED4963EE407)
 BAND_BASE = np.uint64(0x9FB21C651E98DF25)
 ROWS_A_BATCH = 1024
-SHINGLES_AT_ONCE = 32_768
+SHINGLES_AT_ONCE = 2_048
 
 
 @lru_cache(maxsize=2)
@@ -52,32 +56,96 @@ def band_hashes(coordinates: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-def sketches(docs: DataFrame, width: int, bands: int, rows: int, bits: int, seed: int) -> DataFrame:
-    """``(doc_id, n_shingles, digest, bands)``: set size, MD5 of the set, hashes of its bands."""
+def sketches(docs: DataFrame, width: int, bands: int, rows: int, coordinates: int, bits: int, seed: int) -> DataFrame:
+    """``(doc_id, n_shingles, digest, bands, sketch, marks)``: set size, MD5 of the set,
+    hashes of its bands, the low byte of each coordinate, half of each band's hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_A_BATCH):
                 part = batch.slice(start, ROWS_A_BATCH)
-                sets = [shingle_set(t, width) for t in part.column(1).to_pylist()]
-                made = [
-                    band_hashes(signature(s, bands * rows, bits, seed), bands, rows) if len(s) else s.view(np.int64)
-                    for s in sets
-                ]
+                sizes, digests, made, low, marks = [], [], [np.empty(0, np.int64)], [], []
+                for text in part.column(1).to_pylist():
+                    found = shingle_set(text, width)
+                    sizes.append(len(found))
+                    if not len(found):
+                        digests.append(None)
+                        low.append(None)
+                        marks.append(None)
+                        continue
+                    digests.append(hashlib.md5(found.tobytes()).digest())
+                    values = signature(found, coordinates, bits, seed)
+                    made.append(band_hashes(values[: bands * rows], bands, rows))
+                    low.append(values.astype(np.uint8).tobytes())
+                    marks.append(made[-1].astype(np.int32).tobytes())
+                ends = np.concatenate([[0], np.cumsum([bands if n else 0 for n in sizes])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary()),
-                        pa.ListArray.from_arrays(
-                            np.concatenate([[0], np.cumsum([len(m) for m in made])]).astype(np.int32),
-                            np.concatenate([np.empty(0, np.int64), *made]),
-                        ),
+                        pa.array(sizes, pa.int64()),
+                        pa.array(digests, pa.binary()),
+                        pa.ListArray.from_arrays(ends, np.concatenate(made)),
+                        pa.array(low, pa.binary()),
+                        pa.array(marks, pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "digest", "bands"],
+                    ["doc_id", "n_shingles", "digest", "bands", "sketch", "marks"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>, sketch binary, marks binary")
+
+
+def across_parts(members: DataFrame, percent: int, estimate: float, block: int) -> DataFrame:
+    """Pairs (``a``, ``b``) of one bucket and different parts that may be similar enough.
+
+    ``members`` has ``band, rep, n, part, sketch, marks``. A bucket's members are dealt to blocks
+    by a hash, and every two blocks meet in one task, so no task gets a whole bucket. A pair
+    goes on if the set sizes allow it and ``estimate`` of the coordinates are alike, once
+    only: from the first band that it shares.
+    """
+    sizes = members.groupBy("band").agg(F.count("*").alias("size"), F.min("part").alias("low"), F.max("part").alias("high"))
+    sizes = sizes.where("low < high").select(F.col("band").alias("bucket"), F.ceil(F.col("size") / block).cast("int").alias("blocks"))
+    dealt = members.join(sizes, F.col("band") == F.col("bucket"))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "n", "part", "sketch", "marks")
+    dealt = dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "rep")
+
+    def compare(group: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        i, j = group[0][1], group[0][2]
+        block_, rep, n, part = (np.array([row[k] for row in group], dtype=np.int64) for k in (3, 4, 5, 6))
+        sketch = np.frombuffer(b"".join(row[7] for row in group), dtype=np.uint8).reshape(len(group), -1)
+        marks = np.frombuffer(b"".join(row[8] for row in group), dtype=np.int32).reshape(len(group), -1)
+        here = np.array(group[0][0], dtype=np.int64).astype(np.int32)
+        left, right = np.flatnonzero(block_ == i), np.flatnonzero(block_ == j)
+        out_a, out_b = [], []
+        for at in left:
+            them = right[(part[right] != part[at]) & (100 * np.minimum(n[right], n[at]) >= percent * np.maximum(n[right], n[at]))]
+            if i == j:
+                them = them[them > at]
+            them = them[(sketch[them] == sketch[at]).mean(axis=1) >= estimate]
+            shared = marks[them] == marks[at]
+            them = them[marks[at][shared.argmax(axis=1)] == here]
+            out_a.append(np.full(len(them), rep[at]))
+            out_b.append(rep[them])
+        one, two = np.concatenate(out_a) if out_a else rep[:0], np.concatenate(out_b) if out_b else rep[:0]
+        return np.minimum(one, two), np.maximum(one, two)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush(group: list[tuple]) -> pa.RecordBatch:
+            one, two = compare(group)
+            return pa.RecordBatch.from_arrays([pa.array(one), pa.array(two)], ["a", "b"])
+
+        group: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(batch.column(k).to_pylist() for k in range(batch.num_columns)), strict=True):
+                if group and row[:3] != group[-1][:3]:
+                    yield flush(group)
+                    group = []
+                group.append(row)
+        if group:
+            yield flush(group)
+
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -110,6 +178,9 @@ def near_duplicates(
     percent: int = 75,
     bands: int = BANDS,
     rows: int = ROWS,
+    coordinates: int = COORDINATES,
+    estimate: float = ESTIMATE,
+    block: int = BLOCK,
     bits: int = UNIVERSE_BITS,
     seed: int = SEED,
 ) -> DataFrame:
@@ -122,8 +193,9 @@ def near_duplicates(
     Equal sets are one class, whose smallest id stands for it. In a band's bucket every
     member is first held against the bucket's smallest, which is linear in its size, and
     the links that hold are united. Then only members of different components are held
-    against each other, so a large group of near copies is never written out as pairs.
-    No bucket is cut. Links are confirmed on the texts, which are taken once, and only of
+    against each other, by their sketches and in blocks, so a large group of near copies is
+    never written out as pairs; at the threshold one pair in ten thousand has fewer than
+    ``estimate`` of 512 coordinates alike. No bucket is cut. Links are confirmed on the texts, which are taken once, and only of
     documents that share a bucket with others.
 
     Null and empty texts have no shingles and are linked with nothing. Rows that repeat an
@@ -132,7 +204,7 @@ def near_duplicates(
     empty table is empty.
     """
     rows_in = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
-    sketched = written(sketches(rows_in, width, bands, rows, bits, seed), "near-sketches")
+    sketched = written(sketches(rows_in, width, bands, rows, max(coordinates, bands * rows), bits, seed), "near-sketches")
     usable = sketched.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = written(
         usable.groupBy("digest").agg(F.min("doc_id").alias("rep")).select(F.col("digest").alias("class_digest"), "rep"),
@@ -153,18 +225,12 @@ def near_duplicates(
     found = components(met.select(F.col("met_id").alias("node")), links, "near")
     found = written(found.select(F.col("node").alias("m_node"), F.col("component").alias("part")), "near-parts")
     placed = members.join(found, F.col("rep") == F.col("m_node")).select("band", "rep", "n", "part")
-    placed = written(placed, "near-placed")
     mixed = placed.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"))
     mixed = mixed.where("low < high").select(F.col("band").alias("bucket"))
-    rest = placed.join(mixed, F.col("band") == F.col("bucket"), "left_semi")
-    one, two = rest.alias("one"), rest.alias("two")
-    close = F.lit(100) * F.least("one.n", "two.n") >= F.lit(percent) * F.greatest("one.n", "two.n")
-    across = (
-        one.join(two, (F.col("one.band") == F.col("two.band")) & (F.col("one.part") < F.col("two.part")) & close)
-        .select(F.least("one.rep", "two.rep").alias("a"), F.greatest("one.rep", "two.rep").alias("b"))
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
+    rest = written(placed.join(mixed, F.col("band") == F.col("bucket"), "left_semi"), "near-mixed")
+    sketch = stands.select(F.col("rep").alias("s_rep"), "sketch", "marks").dropDuplicates(["s_rep"])
+    rest = rest.join(sketch, F.col("rep") == F.col("s_rep")).drop("s_rep")
+    across = across_parts(rest, percent, estimate, block).join(stars, ["a", "b"], "left_anti")
     links = links.unionByName(verified(written(across, "near-across"), texts, width, percent))
 
     final = components(met.select(F.col("met_id").alias("node")), written(links, "near-links"), "near")
