@@ -46,16 +46,35 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column), dtype=np.float64).reshape(len(column), -1)
 
 
-def _build(group: pd.DataFrame) -> pd.DataFrame:
-    group = group.sort_values("node")
-    graph = Graph(_matrix(group["vec"]))
-    nodes = group["node"].to_numpy()[graph.order].astype(np.int64)
-    weights = group["weight"].to_numpy()[graph.order].astype(np.int64)
-    row = {"dims": group["dims"].iloc[0], "shard": group["shard"].iloc[0], "graph": graph.dump(), "nodes": nodes.tobytes(), "weights": weights.tobytes()}
-    return pd.DataFrame([row])
+def _build(least: float, beam: int, audit: int, recall: float):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("node")
+        graph = Graph(_matrix(group["vec"]))
+        nodes = group["node"].to_numpy()[graph.order].astype(np.int64)
+        weights = group["weight"].to_numpy()[graph.order].astype(np.int64)
+        row = {"dims": group["dims"].iloc[0], "shard": group["shard"].iloc[0], "beam": graph.probed(least, beam, audit, recall)}
+        row |= {"graph": graph.dump(), "nodes": nodes.tobytes(), "weights": weights.tobytes()}
+        return pd.DataFrame([row])
+
+    return run
+
+
+def _audit(least: float, beam: int):
+    def run(index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        if not len(index) or not len(queries):
+            return pd.DataFrame({"dims": [], "node": [], "step": [], "links": [], "missed": []}, dtype=np.int64)
+        graph = Graph.load(index["graph"].iloc[0])
+        nodes = np.frombuffer(index["nodes"].iloc[0], np.int64)
+        ids = queries["node"].to_numpy().astype(np.int64)
+        links, steps = graph.audit(_matrix(queries["vec"]), ids, nodes, least, beam)
+        rows = [(ids, links, np.zeros_like(links), 0)] + [(ids, np.zeros_like(links), missed, step) for step, missed in enumerate(steps)]
+        rows = [pd.DataFrame({"dims": index["dims"].iloc[0], "node": i, "step": s, "links": n, "missed": m}) for i, n, m, s in rows]
+        return pd.concat([r[(r["links"] > 0) | (r["missed"] > 0)] for r in rows])
+
+    return run
 
 
-def _search(least: float, beam: int, audit: int, recall: float):
+def _search(least: float):
     def run(index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(index) or not len(queries):
             return pd.DataFrame({"a": [], "links": [], "b": []}, dtype=np.int64)
@@ -64,7 +83,7 @@ def _search(least: float, beam: int, audit: int, recall: float):
         nodes = np.frombuffer(index["nodes"].iloc[0], np.int64)
         weights = np.frombuffer(index["weights"].iloc[0], np.int64)
         ids = queries["node"].to_numpy().astype(np.int64)
-        q, i = graph.within(_matrix(queries["vec"]), least, beam, audit, recall)
+        q, i = graph.links(_matrix(queries["vec"]), least, int(index["beam"].iloc[0]))
         other = ids[q] != nodes[i]
         q, i = q[other], i[other]
         links = np.bincount(q, weights=weights[i], minlength=len(ids)).astype(np.int64)
@@ -88,6 +107,20 @@ def _search(least: float, beam: int, audit: int, recall: float):
     return run
 
 
+def _steps(audited: DataFrame, recall: float) -> DataFrame:
+    """``(dims, step)``: how often the beam is to be doubled until queries on average find ``recall`` of their links.
+
+    A query's links and misses are added over all shards first, and each query with links counts
+    once. Vector lengths for which no doubling is needed are left out.
+    """
+    links = audited.groupBy("dims", "node").agg(F.sum("links").alias("links"))
+    queries = links.groupBy("dims").agg(F.count("*").alias("queries"))
+    missed = audited.where("missed > 0").groupBy("dims", "node", "step").agg(F.sum("missed").alias("missed"))
+    share = missed.join(links, ["dims", "node"]).groupBy("dims", "step").agg(F.sum(F.col("missed") / F.col("links")).alias("share"))
+    failed = share.join(queries, "dims").where(F.col("share") > (1 - recall) * F.col("queries") + 1e-9)
+    return failed.groupBy("dims").agg((F.max("step") + 1).alias("step"))
+
+
 def near_vectors(
     rows: DataFrame,
     vec_id: str = "vec_id",
@@ -105,10 +138,13 @@ def near_vectors(
     Vectors are linked if their cosine in double precision is at least ``least``. Equal
     vectors (after scaling to length 1) are one node, with the number of its rows. Nodes are
     dealt to shards by a hash; a shard's graph is built in one task and written, and every
-    block of nodes is held against every shard. In each such task ``audit`` queries are also
-    compared with the whole shard, and beams are doubled until ``recall`` of their links
-    are found. Candidates are checked in double precision. Tasks return counts and the
-    edges of a spanning forest, so dense groups are not written out as pairs.
+    block of nodes is held against every shard. Before, ``audit`` of each ``block_rows`` nodes
+    (all of a smaller table) are compared with every vector of every shard, and the beam is
+    doubled until on average ``recall`` of such a node's links, over all shards together,
+    are found. A shard's beam is also doubled until it finds ``recall`` of ``audit`` links
+    planted in it, so it is tested where the data have no links. Candidates are checked in
+    double precision. Tasks return counts and the edges of a spanning forest, so dense
+    groups are not written out as pairs.
 
     Null, empty and zero vectors and those with null or non-finite components link with
     nothing, and vectors of different lengths do not link. Rows that repeat an id and its
@@ -135,16 +171,29 @@ def near_vectors(
     index = (
         nodes.withColumn("shard", place(shards, 1))
         .groupBy("dims", "shard")
-        .applyInPandas(_build, "dims int, shard int, graph binary, nodes binary, weights binary")
+        .applyInPandas(_build(least, beam, audit, recall), "dims int, shard int, beam int, graph binary, nodes binary, weights binary")
     )
     index = written(index, "vector-graphs")
+    keys = ["dims", "shard", "block"]
+    # Enough of each block for the audit, dealt to blocks of their own that are as large.
+    sampled = nodes.where(F.pmod(F.xxhash64("node", F.lit(3)), F.lit(max(1, min(block_rows, count)))) < audit)
+    few = max(1, ceil(min(1, audit / max(1, min(block_rows, count))) * blocks))
+    asked = sampled.withColumn("block", place(few, 2)).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    audited = (
+        index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(few - 1))))
+        .groupBy(*keys)
+        .cogroup(asked.select(*keys, "node", "vec").groupBy(*keys))
+        .applyInPandas(_audit(least, beam), "dims int, node long, step int, links long, missed long")
+    )
+    steps = _steps(written(audited, "vector-audit"), recall)
+    pooled = F.lit(beam) * F.pow(F.lit(2), F.coalesce("step", F.lit(0)))
+    index = index.join(steps, "dims", "left").withColumn("beam", F.greatest("beam", pooled.cast("int"))).drop("step")
     left = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = nodes.withColumn("block", place(blocks, 2)).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    keys = ["dims", "shard", "block"]
     found = (
         left.groupBy(*keys)
         .cogroup(right.select(*keys, "node", "vec").groupBy(*keys))
-        .applyInPandas(_search(least, beam, audit, recall), "a long, links long, b long")
+        .applyInPandas(_search(least), "a long, links long, b long")
     )
     found = written(found, "vector-links")
     united = components(nodes.select("node"), found.select("a", "b"), "vectors")

@@ -7,6 +7,8 @@ import pickle
 import numpy as np
 
 LINKS, BATCH, BUILD_BEAM, AT_ONCE, EXPANDED = 24, 256, 32, 256, 3
+#: Arcs a node may get on top of its links for each reason to lead to nodes nothing leads to.
+EXTRA = 8
 
 
 class Graph:
@@ -14,7 +16,8 @@ class Graph:
 
     Layers are built from the top. Vectors enter a layer in batches: a beam search from
     what the layer above found gives candidates, batch members are candidates as well, and
-    of these each vector keeps near ones that are nearer to it than to one another.
+    of these each vector keeps near ones that are nearer to it than to one another. Arcs
+    are added at the end to every vector that cannot be reached from the first.
     """
 
     def __init__(self, vectors: np.ndarray, seed: int = 3):
@@ -50,14 +53,64 @@ class Graph:
                 if done <= BATCH:
                     old, near = np.arange(done)[None, :].repeat(len(fresh), 0), self.near[fresh] @ self.near[:done].T
                 else:
-                    old, near = self._walk(self.near[fresh], self._descend(self.near[fresh], len(self.layers)), links[:done], BUILD_BEAM)
+                    old, near = self._walk(self.near[fresh], self._entries(fresh, done), links[:done], BUILD_BEAM)
                 found, sims = np.concatenate([old, found], axis=1), np.concatenate([near, sims], axis=1)
             width = min(BUILD_BEAM, found.shape[1])
             by = np.argsort(-sims, axis=1, kind="stable")[:, :width]
             found, sims = np.take_along_axis(found, by, 1), np.take_along_axis(sims, by, 1)
             self._link(links, scores, fresh, np.where(sims > -2, found, -1), sims)
             done = end
-        self.layers.append(links)
+        self.layers.append(self._attach(links))
+
+    def _attach(self, links: np.ndarray) -> np.ndarray:
+        """``links`` with arcs in further columns, so that every vector is reached from the first.
+
+        A lost vector is led to from the nearest reached one it links to itself, or, where it
+        links to none, from the nearest of all. Those that share one hang below it as a tree.
+        """
+        reached = np.zeros(len(links), dtype=bool)
+        fresh, arcs = np.zeros(1, np.int64), [np.zeros((0, 2), np.int64)]
+        while True:
+            while len(fresh):
+                reached[fresh] = True
+                fresh = np.unique(links[fresh])
+                fresh = fresh[fresh >= 0]
+                fresh = fresh[~reached[fresh]]
+            lost = np.flatnonzero(~reached)
+            if not len(lost):
+                break
+            out = links[lost]
+            usable = (out >= 0) & reached[out]
+            fresh = lost[usable.any(axis=1)]
+            if len(fresh):
+                out, usable = out[usable.any(axis=1)], usable[usable.any(axis=1)]
+                sims = np.stack([np.einsum("kd,kd->k", self.near[fresh], self.near[column]) for column in out.T], axis=1)
+                host = np.take_along_axis(out, np.where(usable, sims, -2).argmax(axis=1)[:, None], 1)[:, 0]
+            else:
+                fresh, known = lost[:1], np.flatnonzero(reached)
+                host = known[(self.near[known] @ self.near[fresh[0]]).argmax()][None]
+            by = np.argsort(host, kind="stable")
+            fresh, host = fresh[by], host[by].astype(np.int64)
+            first = np.searchsorted(host, host, side="left")
+            turn = np.arange(len(host)) - first
+            below = turn >= EXTRA
+            host[below] = fresh[(first + turn // EXTRA - 1)[below]]
+            arcs.append(np.stack([host, fresh], axis=1))
+        arcs = np.concatenate(arcs)
+        if not len(arcs):
+            return links
+        host, node = arcs[np.argsort(arcs[:, 0], kind="stable")].T
+        turn = np.arange(len(host)) - np.searchsorted(host, host, side="left")
+        more = np.full((len(links), int(turn.max()) + 1), -1, dtype=np.int32)
+        more[host, turn] = node
+        return np.concatenate([links, more], axis=1)
+
+    def _entries(self, fresh: np.ndarray, done: int) -> np.ndarray:
+        """Where a search starts among the first ``done`` of a layer that is being built."""
+        if self.layers and len(self.layers[-1]) <= done:
+            return self._descend(self.near[fresh], len(self.layers))
+        # The layer above has vectors that have not entered this one yet.
+        return np.argsort(-(self.near[fresh] @ self.near[:BATCH].T), axis=1)[:, :4]
 
     def _descend(self, queries: np.ndarray, layers: int) -> np.ndarray:
         """Where to start below the first ``layers``: the best found there, else the first vector."""
@@ -165,37 +218,91 @@ class Graph:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return np.concatenate([q for q, _ in out]), np.concatenate([i for _, i in out])
 
+    def links(self, queries: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """``(query, place)`` pairs found whose cosine in double precision is at least ``least``.
+
+        The beam is doubled for queries that fill it with pairs; one that would look at as
+        many vectors as there are is a comparison with everything.
+        """
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for at in range(0, len(queries), AT_ONCE):
+            left, width = np.arange(at, min(at + AT_ONCE, len(queries))), beam
+            while len(left):
+                if width * LINKS >= len(self.vectors):
+                    q, i = np.nonzero(queries[left] @ self.vectors.T >= least)
+                    out.append((left[q], i))
+                    break
+                q, i = self.search(queries[left], width)
+                good = np.einsum("kd,kd->k", queries[left[q]], self.vectors[i]) >= least
+                q, i = q[good], i[good]
+                full = np.bincount(q, minlength=len(left)) >= width
+                out.append((left[q[~full[q]]], i[~full[q]]))
+                left = left[full]
+                width *= 2
+        return np.concatenate([q for q, _ in out]), np.concatenate([i for _, i in out])
+
+    def audit(self, queries: np.ndarray, names: np.ndarray, nodes: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Each query's pairs, counted against every vector, and how many of them a search misses.
+
+        The misses are listed for ``beam``, twice ``beam`` and so on until there are none.
+        Queries do not pair with the vector of their own name; ``nodes`` has those of the graph.
+        """
+        truth, steps = np.zeros(len(queries), np.int64), []
+        for at in range(0, len(queries), AT_ONCE):
+            q, i = np.nonzero(queries[at : at + AT_ONCE] @ self.vectors.T >= least)
+            truth += np.bincount(q[names[at + q] != nodes[i]] + at, minlength=len(queries))
+        short = np.flatnonzero(truth)
+        while len(short) and beam * LINKS < len(self.vectors):
+            missed = np.zeros(len(queries), np.int64)
+            for at in range(0, len(short), AT_ONCE):
+                some = short[at : at + AT_ONCE]
+                q, i = self.links(queries[some], least, beam)
+                found = np.bincount(q[names[some[q]] != nodes[i]], minlength=len(some))
+                missed[some] = np.maximum(0, truth[some] - found)
+            steps.append(missed)
+            short = np.flatnonzero(missed)
+            beam *= 2
+        return truth, steps
+
+    def probed(self, least: float, beam: int, probes: int, recall: float, seed: int = 5) -> int:
+        """The first of ``beam`` and its doubles that finds ``recall`` of planted links.
+
+        Each of ``probes`` vectors, evenly chosen, is sought from a point whose cosine with it
+        is just ``least``, in a random direction: links as weak as any, with no other to help,
+        which are there whatever the data hold.
+        """
+        size, dims = self.vectors.shape
+        if not size:
+            return beam
+        place = np.arange(0, size, max(1, size // max(1, probes)))[:probes]
+        aside = np.random.RandomState(seed).randn(len(place), dims)
+        own = self.vectors[place]
+        aside -= np.einsum("kd,kd->k", aside, own)[:, None] * own
+        norm = np.linalg.norm(aside, axis=1, keepdims=True)
+        near = min(1.0, least + 1e-9)
+        away = np.where(norm > 1e-6, aside / np.maximum(norm, 1e-6), 0)
+        queries = near * own + np.sqrt(1 - near * near) * away
+        queries /= np.linalg.norm(queries, axis=1, keepdims=True)
+        left = np.arange(len(place))
+        while beam * LINKS < size:
+            q, i = self.search(queries[left], beam)
+            left = np.delete(left, np.unique(q[i == place[left[q]]]))
+            if len(left) <= (1 - recall) * len(place):
+                break
+            beam *= 2
+        return beam
+
     def within(self, queries: np.ndarray, least: float, beam: int, audit: int, recall: float) -> tuple[np.ndarray, np.ndarray]:
-        """``(query, place)`` pairs whose cosine in double precision is at least ``least``.
+        """:meth:`links` of one graph by itself, with a beam that passes its own audit.
 
-        ``audit`` queries are compared with every vector. While less than ``recall`` of
-        their pairs are found, the beam is doubled for all, and for queries that fill it
-        with pairs anyway; a beam as wide as the graph is a comparison with everything.
+        ``audit`` queries are compared with every vector and as many planted links are
+        sought. The beam is doubled until on average ``recall`` of a query's pairs are found.
         """
-        if not len(self.vectors) or not len(queries):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        step = max(1, len(queries) // audit)
-        audited = np.zeros(len(queries), dtype=bool)
-        audited[np.arange(0, len(queries), step)[:audit]] = True
-        truth = np.zeros(len(queries), dtype=np.int64)
-        truth[audited] = (queries[audited] @ self.vectors.T >= least).sum(axis=1)
-        left, out = np.arange(len(queries)), []
-        while len(left):
-            if beam >= len(self.vectors):
-                for a in range(0, len(left), AT_ONCE):
-                    some = left[a : a + AT_ONCE]
-                    q, i = np.nonzero(queries[some] @ self.vectors.T >= least)
-                    out.append((some[q], i))
+        beam = self.probed(least, beam, audit, recall)
+        some = queries[:: max(1, len(queries) // audit)][:audit]
+        truth, steps = self.audit(some, np.full(len(some), -1), np.zeros(len(self.vectors)), least, beam)
+        for missed in steps:
+            if (missed / np.maximum(1, truth)).sum() <= (1 - recall) * (truth > 0).sum():
                 break
-            q, i = self.search(queries[left], beam)
-            good = np.einsum("kd,kd->k", queries[left[q]], self.vectors[i]) >= least
-            q, i = left[q[good]], i[good]
-            per = np.bincount(q, minlength=len(queries))
-            settled = left[per[left] < beam]
-            checked = settled[audited[settled]]
-            if per[checked].sum() >= recall * truth[checked].sum():
-                mine = per[q] < beam
-                out.append((q[mine], i[mine]))
-                left = left[per[left] >= beam]
             beam *= 2
-        return np.concatenate([q for q, _ in out]), np.concatenate([i for _, i in out])
+        return self.links(queries, least, beam)

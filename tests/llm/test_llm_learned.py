@@ -84,6 +84,50 @@ def test_graph_recall():
     assert len(q) >= 0.99 * (rows @ rows.T >= 0.95).sum()
 
 
+def unit(rows: np.ndarray) -> np.ndarray:
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
+def test_vectors_that_nothing_leads_to_are_attached():
+    rng = np.random.RandomState(7)
+    centre = rng.randn(24)
+    core, shell = centre + 0.1 * rng.randn(3_000, 24), centre + 2.0 * rng.randn(60, 24)
+    graph = Graph(unit(np.concatenate([shell, core])))
+    for links in graph.layers:
+        seen, fresh = {0}, [0]
+        while fresh:
+            fresh = list({int(n) for at in fresh for n in links[at] if n >= 0} - seen)
+            seen.update(fresh)
+        assert len(seen) == len(links)
+
+
+def test_graph_whose_upper_layer_takes_several_batches():
+    rng = np.random.RandomState(2)
+    graph = Graph(unit(rng.randn(20_000, 8)))
+    assert graph.sizes[-2] > 512
+    q, i = graph.search(graph.vectors[::20], 16)
+    assert (20 * q == i).sum() >= 0.98 * 1_000
+
+
+def test_audit_is_not_empty_where_audited_queries_have_no_links():
+    rng = np.random.RandomState(4)
+    graph = Graph(unit(rng.randn(2_000, 32)))
+    queries = unit(graph.vectors + 0.05 * rng.randn(2_000, 32))
+    queries[::32] = unit(rng.randn(63, 32))
+    truth = queries @ graph.vectors.T >= 0.95
+    assert not truth[::32].any()
+    q, i = graph.within(queries, 0.95, 1, 63, 0.99)
+    assert len(q) >= 0.99 * truth.sum()
+
+
+def test_audit_counts_each_query_once_over_all_shards(spark):
+    # Query 1 has 99 links in one shard, all found; queries 2 and 3 have one each, in others, missed at first.
+    rows = [(4, 1, 0, 99, 0), (4, 2, 0, 1, 0), (4, 2, 0, 0, 1), (4, 3, 0, 1, 0), (4, 3, 0, 0, 1), (4, 3, 1, 0, 1), (8, 1, 0, 5, 0)]
+    audited = spark.createDataFrame(rows, "dims int, node long, step int, links long, missed long")
+    steps = lambda recall: {r["dims"]: r["step"] for r in embedding_dedup._steps(audited, recall).collect()}
+    assert (steps(0.99), steps(0.5), steps(0.3)) == ({4: 2}, {4: 1}, {})
+
+
 # --- 1: quality -----------------------------------------------------------------------
 
 
