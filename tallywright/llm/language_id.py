@@ -7,6 +7,7 @@ labelled text. The language it reads like needs the fewest phrases for its lengt
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,17 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Bounds of what is learned from: characters and rows for each language, and languages.
+#: Bounds of what is learned from: characters (the last row is whole) and rows for each language, and languages.
 TRAIN_CHARS, TRAIN_ROWS, MAX_LANGUAGES = 40_000, 400, 256
-#: Letters with a code of their own; rarer ones share the code before the last.
-LETTERS = 62
 PIECE = 1024
 PIECES_AT_ONCE = 4096
 LETTER = re.compile(r"[^\W\d_]")
 
 
-def suffix_automaton(codes: np.ndarray, alphabet: int) -> np.ndarray:
-    """Transitions ``(states, alphabet)`` of the automaton of all substrings, -1 where none."""
+def suffix_automaton(codes: np.ndarray) -> list[dict[int, int]]:
+    """The arcs of each state of the automaton of all substrings, by code."""
     size = 2 * len(codes) + 1
     moves: list[dict[int, int]] = [{}]
     link, length = [-1] * size, [0] * size
@@ -53,30 +52,62 @@ def suffix_automaton(codes: np.ndarray, alphabet: int) -> np.ndarray:
                     at = link[at]
                 link[target] = link[new] = copy
         last = new
-    table = np.full((len(moves), alphabet), -1, dtype=np.int32)
-    for state, arcs in enumerate(moves):
-        table[state, list(arcs)] = list(arcs.values())
-    return table
+    return moves
+
+
+def packed(moves: list[dict[int, int]], alphabet: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(base, owner, target)``: the arc of a state by a code is at ``base[state] + code``, if the state owns that place.
+
+    Rows lie over one another where they have no arcs, so room grows with arcs and not with
+    states times letters. Wide rows are placed first, single arcs fill the gaps.
+    """
+    base = np.zeros(len(moves), dtype=np.int64)
+    owner = np.full(2 * sum(map(len, moves)) + 2 * alphabet + PIECE, -1, dtype=np.int32)
+    target = np.zeros(len(owner), dtype=np.int32)
+    cursor, tried = 0, np.arange(256)[:, None]
+    for state in sorted((s for s, arcs in enumerate(moves) if len(arcs) > 1), key=lambda s: -len(moves[s])):
+        codes = np.fromiter(moves[state], np.int64, len(moves[state]))
+        while True:
+            if cursor + 256 + alphabet > len(owner):
+                owner = np.concatenate([owner, np.full(len(owner), -1, dtype=np.int32)])
+                target = np.concatenate([target, np.zeros(len(target), dtype=np.int32)])
+            fits = (owner[cursor + tried + codes] < 0).all(axis=1)
+            if fits.any():
+                break
+            cursor += 256
+        base[state] = cursor + fits.argmax()
+        owner[base[state] + codes] = state
+        target[base[state] + codes] = list(moves[state].values())
+    single = [(s, *next(iter(arcs.items()))) for s, arcs in enumerate(moves) if len(arcs) == 1]
+    if single:
+        state, code, to = np.array(single, dtype=np.int64).T
+        free = np.flatnonzero(owner < 0)[: len(state)]  # there are: room is twice the arcs at least
+        base[state], owner[free], target[free] = free - code, state, to
+    used = int(np.flatnonzero(owner >= 0).max(initial=0)) + 1
+    gap = np.full(alphabet, -1, dtype=np.int32)
+    return base, np.concatenate([owner[:used], gap]), np.concatenate([target[:used], gap])
 
 
 @dataclass
 class Model:
-    """``table`` maps state and code to the next state, doubled, plus 1 where a phrase ends.
+    """All languages' automata, :func:`packed`, one after the other.
 
-    All languages' automata stand in one table; ``starts`` has their first states.
+    ``again`` has the state after the first code of a phrase for each language and code. Every
+    letter of any language's learned text has a code; those in none share the last.
     """
 
     languages: list[str]
     code_of: np.ndarray
-    table: np.ndarray
-    starts: np.ndarray
-    alphabet: int
+    base: np.ndarray
+    owner: np.ndarray
+    target: np.ndarray
+    again: np.ndarray
     scale: np.ndarray
 
     def codes(self, text: str) -> np.ndarray:
         """Letters by their code, lower case; any run of other characters is one code 0."""
         points = np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32)
-        codes = self.code_of[np.minimum(points, len(self.code_of) - 1)]
+        codes = self.code_of[points]
         keep = codes != 0
         keep[1:] |= codes[:-1] != 0
         keep[:1] = True
@@ -112,15 +143,18 @@ class Model:
 
     def _parse(self, columns: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Phrases of each piece; pieces come longest first, so those that end leave at the back."""
-        shape = (len(self.languages), len(lengths))
-        state = np.repeat(self.starts[:, None], shape[1], axis=1) * self.alphabet
-        ended = np.ones(shape, dtype=np.int32)
+        if not len(lengths):
+            return np.ones((len(self.languages), 0), dtype=np.int32)
+        state = self.again[:, columns[0]]
+        ended = np.ones(state.shape, dtype=np.int32)
         live = np.searchsorted(-lengths, -np.arange(PIECE), side="left")
-        for step in range(int(lengths[0]) if len(lengths) else 0):
+        for step in range(1, int(lengths[0])):
             n = live[step]
-            found = self.table[state[:, :n] + columns[step, :n]]
-            ended[:, :n] += found & 1
-            np.multiply(found >> 1, self.alphabet, out=state[:, :n], casting="unsafe")
+            here, code = state[:, :n], columns[step, :n]
+            place = self.base[here] + code
+            goes = self.owner[place] == here
+            ended[:, :n] += ~goes
+            state[:, :n] = np.where(goes, self.target[place], self.again[:, code])
         return ended
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
@@ -140,66 +174,75 @@ class Model:
         return names, scores
 
 
-def fit(samples: dict[str, list[str]], chars: int = TRAIN_CHARS, letters: int = LETTERS) -> Model:
+def fit(samples: dict[str, list[str]], letters: int | None = None) -> Model:
     """A model from labelled texts; ties between languages go to the first in code point order.
 
-    Every language learns from at most ``chars`` characters. Where one has fewer, its phrases
-    are shorter, so counts are scaled by the logarithm of what was learned from.
+    Texts are learned whole. Where a language has fewer, its phrases are shorter, so counts are
+    scaled by the logarithm of what was learned from. Marks, such as vowel signs, count as
+    letters. With ``letters``, only so many of the most frequent ones are told apart.
     """
     languages = sorted(samples)
-    learned = {name: "\n".join(samples[name])[:chars] for name in languages}
+    learned = {name: "\n".join(samples[name]) for name in languages}
     points = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(t.lower().encode("utf-32-le", "replace"), np.uint32) for t in learned.values())])
     values, counts = np.unique(points, return_counts=True)
-    common = [v for _, v in sorted(zip(-counts, values, strict=True)) if chr(v).isalpha()][:letters]
+    common = [v for _, v in sorted(zip(-counts, values, strict=True)) if _is_letter(chr(v))][:letters]
     number = {chr(v): i + 1 for i, v in enumerate(common)}
     alphabet = len(number) + 2
-    code_of = np.zeros(0x10001, dtype=np.int32)
-    for point in range(0x10000):
+    code_of = np.zeros(0x110000, dtype=np.int32)
+    for point in range(len(code_of)):
         char = chr(point)
-        if char.isalpha():
-            code_of[point] = number.get(char.lower(), alphabet - 1)
-    code_of[0x10000] = alphabet - 1
-    model = Model(languages, code_of, np.zeros(0, np.int32), np.zeros(0, np.int64), alphabet, np.ones(len(languages)))
-    tables, starts, sizes, offset = [], [], [], 0
+        if _is_letter(char):
+            code_of[point] = number.get(char.lower()[0], alphabet - 1)
+    none = np.zeros(0, np.int32)
+    model = Model(languages, code_of, none, none, none, np.zeros((0, alphabet), np.int32), np.ones(len(languages)))
+    parts, agains, sizes, states, places = [], [], [], 0, 0
     for name in languages:
         codes = model.codes(learned[name])
-        moves = suffix_automaton(codes, alphabet)
+        moves = suffix_automaton(codes)
         # Where a phrase cannot go on, the next one starts with the same character. One that the
         # language never has is a phrase of its own: it leads to an extra state that ends it.
-        alone = len(moves)
-        moves = np.concatenate([moves, np.full((1, alphabet), -1, dtype=np.int32)])
-        again = np.where(moves[0] >= 0, moves[0], alone)
-        ends = moves < 0
-        ends[0] = False  # only the start of a piece is there, whose phrase is counted
-        tables.append((np.where(moves < 0, again[None, :], moves) + offset) * 2 + ends)
-        starts.append(offset)
+        again = np.full(alphabet, len(moves), dtype=np.int32)
+        again[list(moves[0])] = list(moves[0].values())
+        moves.append({})
+        base, owner, target = packed(moves, alphabet)
+        parts.append((base + places, np.where(owner >= 0, owner + states, -1), target + states))
+        agains.append(again + states)
         sizes.append(len(codes))
-        offset += len(moves)
+        states, places = states + len(moves), places + len(owner)
     if languages:
-        model.table = np.concatenate(tables).astype(np.int32).ravel()
-        model.starts = np.array(starts, dtype=np.int64)
+        kinds = (np.int64 if places > 1 << 31 else np.int32, np.int32, np.int32)
+        model.base, model.owner, model.target = (np.concatenate(x).astype(k) for x, k in zip(zip(*parts, strict=True), kinds, strict=True))
+        model.again = np.stack(agains)
         model.scale = np.log(np.maximum(2, sizes)) / np.log(max(2, *sizes))
     return model
 
 
+def _is_letter(char: str) -> bool:
+    return char.isalpha() or unicodedata.category(char)[0] == "M"
+
+
 def labelled_sample(docs: DataFrame, doc_id: str, text: str, lang: str, chars: int, rows: int) -> dict[str, list[str]]:
-    """Texts by language: the ``rows`` first in the order of a hash of the id, and a
-    twentieth of ``chars`` from each. Tasks keep only so many rows of a language, and of the
-    languages the :data:`MAX_LANGUAGES` with most labelled rows are learned."""
+    """Whole texts by language, in the order of a hash of id and text, equal rows once: at most
+    ``rows``, and none after those that have ``chars`` characters together. Of the languages the
+    :data:`MAX_LANGUAGES` with most labelled rows are learned. Texts move only once chosen."""
     most = docs.where(docs[lang].isNotNull()).groupBy(docs[lang].alias("learned")).count()
     most = F.broadcast(most.orderBy(F.desc("count"), "learned").limit(MAX_LANGUAGES).select("learned"))
-    ranked = docs.join(most, docs[lang] == F.col("learned"), "left_semi").where(docs[text].isNotNull()).select(
-        docs[lang].alias("lang"),
-        F.substring(docs[text], 1, max(1, chars // 20)).alias("text"),
-        F.xxhash64(docs[doc_id]).alias("place"),
+    usable = docs.join(most, docs[lang] == F.col("learned"), "left_semi").where(F.length(docs[text]) > 0).select(
+        docs[lang].alias("lang"), docs[text].alias("text"), F.xxhash64(docs[doc_id], docs[text]).alias("place")
     )
-    order = Window.partitionBy("lang").orderBy("place", "text")
-    picked = ranked.where(F.length("text") > 0).withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows)
+    order = Window.partitionBy("lang").orderBy("place")
+    sizes = usable.groupBy("lang", "place").agg(F.max(F.length("text")).alias("size"))
+    first = sizes.withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows).drop("n")
+    chosen, held = [], {}
+    for row in first.orderBy("lang", "place").toLocalIterator():
+        if held.get(row["lang"], 0) < chars:
+            held[row["lang"]] = held.get(row["lang"], 0) + row["size"]
+            chosen.append((row["lang"], row["place"]))
+    picked = F.broadcast(docs.sparkSession.createDataFrame(chosen, "lang string, place long"))
+    texts = usable.join(picked, ["lang", "place"]).groupBy("lang", "place").agg(F.max("text").alias("text"))
     out: dict[str, list[str]] = {}
-    for row in picked.select("lang", "text", "n").orderBy("lang", "n").toLocalIterator():
-        found = out.setdefault(row["lang"], [])
-        if sum(map(len, found)) < chars:
-            found.append(row["text"])
+    for row in texts.orderBy("lang", "place").toLocalIterator():
+        out.setdefault(row["lang"], []).append(row["text"])
     return out
 
 
@@ -215,12 +258,12 @@ def identify(
     """``(doc_id, lang_pred, score)`` for every row of ``docs``, read as a whole.
 
     ``training`` has labelled rows; rows with a null text or language teach nothing. What is
-    learned from is bounded by ``rows`` and ``chars`` a language and so fits the driver, as
-    the number of languages does; the automata go to the executors by broadcast. Null texts
+    learned from is bounded by ``rows`` and by ``chars`` plus one row a language and so fits the
+    driver, as the number of languages does; the automata go to the executors by broadcast. Null texts
     and texts without a letter are ``und`` with score 0, as all are without training rows.
     Other columns are not read; repeated rows give repeated results.
     """
-    model = docs.sparkSession.sparkContext.broadcast(fit(labelled_sample(training, doc_id, text, lang, chars, rows), chars))
+    model = docs.sparkSession.sparkContext.broadcast(fit(labelled_sample(training, doc_id, text, lang, chars, rows)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = model.value

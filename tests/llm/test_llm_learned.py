@@ -183,6 +183,39 @@ def test_pieces_do_not_change_the_language():
     assert scores[2:5].tolist() == [0, 0, 0] and ((0 <= scores) & (scores <= 1)).all()
 
 
+def test_every_script_has_its_letters():
+    texts = {
+        "ar": "كل الناس يولدون أحرارا متساوين في الكرامة والحقوق",
+        "el": "όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι",
+        "hi": "सभी मनुष्यों को गौरव और अधिकारों के मामले में जन्मजात स्वतन्त्रता",
+        "ja": "すべての人間は、生まれながらにして自由であり",
+        "ko": "모든 인간은 태어날 때부터 자유로우며 그 존엄과 권리에",
+        "ne": "सबै व्यक्तिहरू जन्मजात स्वतन्त्र हुन् ती सबैको समान अधिकार",
+        "ru": "все люди рождаются свободными и равными в своем достоинстве",
+        "xx": "\U0001e900\U0001e901\U0001e902 \U0001e903\U0001e904\U0001e905",
+        "zh": "人人生而自由在尊严和权利上一律平等他们赋有理性和良心",
+    }
+    latin = {"en": "the quick brown fox jumps over the lazy dog " * 40, "fr": "portez ce vieux whisky au juge blond qui fume " * 40}
+    model = language_id.fit({k: [v] for k, v in (texts | latin).items()})
+    names, _ = model.predict([v[len(v) // 3 :] for v in texts.values()])
+    assert names == list(texts)
+
+
+def test_scripts_without_blanks_are_told_apart_beside_common_alphabets():
+    alphabets = {"el": "αβγδεζηθικλμνξοπρστυφχψω", "en": "abcdefghijklmnopqrstuvwxyz", "ru": "абвгдежзийклмнопрстуфхцчшщъыьэюя"}
+    rare = {"ja": "すべての人間は生まれながらにして自由で", "ko": "모든인간은태어날때부터자유로우며그존엄", "zh": "人人生而自由在尊严和权利上一律平等他们"}
+    model = language_id.fit({k: [v * 20] for k, v in alphabets.items()} | {k: [v] for k, v in rare.items()})
+    names, _ = model.predict([v[5:15] for v in rare.values()])
+    assert names == list(rare)
+
+
+def test_language_learns_from_whole_rows(spark):
+    rows = [(1, "a" * 5_000 + " end", "x"), (None, "b" * 50_000 + " end", "y"), (None, "b" * 50_000 + " end", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = language_id.labelled_sample(docs, "doc_id", "text", "lang", 40_000, 400)
+    assert sample == {"x": [rows[0][1]], "y": [rows[1][1]]}
+
+
 def test_language_on_held_out_rows(spark, sf_small):
     found = queries.op8_language_id(spark, sf_small).where("held_out").join(table(spark, sf_small, "documents"), "doc_id")
     assert found.where("lang = lang_pred").count() / found.count() > 0.95
