@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywright.llm.common import WHITE
+from tallywright.llm.common import WHITE, written
 
 PREFIX_CHARS = 256
 
@@ -83,15 +83,13 @@ def exact_groups(
 
 
 def drop_exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the rows another row stands for; all columns stay as they are.
+    """``docs`` with exactly one row of each group of equal texts; all columns stay as they are.
 
-    Which rows go is decided by :func:`exact_groups`; they leave by an anti join on
-    ``doc_id`` and hash, so only identifiers of dropped rows are moved besides the rows.
+    The row that stays is chosen as in :func:`exact_groups`, and among rows that repeat its id
+    (or have none) by a number drawn for each row, with which the rows are written first.
     """
-    gone = exact_groups(docs, doc_id, text).where("NOT kept").select(
-        F.col("doc_id").alias("__gone_id"), F.col("full_hash").alias("__gone_hash")
-    ).distinct()
-    marked = docs.withColumn("__hash", F.sha2(normalised(F.col(text)), 256))
-    return marked.join(
-        gone, F.col(doc_id).eqNullSafe(F.col("__gone_id")) & (F.col("__hash") == F.col("__gone_hash")), "left_anti"
-    ).drop("__hash")
+    marked = written(docs.withColumn("__row", F.monotonically_increasing_id()), "exact-rows")
+    named = F.struct(F.col(doc_id).isNull().alias("absent"), F.col(doc_id).alias("id"), F.col("__row").alias("row"))
+    groups = exact_groups(marked.select(named.alias("__name"), F.col(text).alias("__text")), "__name", "__text")
+    gone = groups.where("NOT kept").select(F.col("doc_id.row").alias("__gone"))
+    return marked.join(gone, F.col("__row") == F.col("__gone"), "left_anti").drop("__row")

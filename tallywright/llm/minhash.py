@@ -247,7 +247,19 @@ def near_duplicates(
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each component, columns unchanged."""
-    gone = near_duplicates(docs, doc_id, text, **options).where("NOT kept").select(F.col("doc_id").alias("__gone"))
-    gone = written(gone.distinct(), "near-gone")
-    return docs.join(gone, docs[doc_id].cast("long") == F.col("__gone"), "left_anti")
+    """``docs`` with exactly one row of each component, columns unchanged.
+
+    Rows are judged one by one, by a number drawn for each and written with it, so repeated
+    and null ids are no exception. The row with the smallest id stays, then the smallest number.
+    """
+    marked = written(docs.withColumn("__row", F.monotonically_increasing_id()), "near-rows")
+    rows = marked.select("__row", F.col(text).alias("__text"))
+    found = near_duplicates(rows, "__row", "__text", **options).select(F.col("doc_id").alias("__found"), "component_id")
+    # A row alone in its component stays whatever its id.
+    shared = found.groupBy(F.col("component_id").alias("part")).agg(F.count("*").alias("n")).where("n > 1")
+    found = written(found.join(shared, F.col("component_id") == F.col("part")).select("__found", "part"), "near-shared")
+    named = marked.select("__row", F.col(doc_id).alias("__id")).join(found, F.col("__row") == F.col("__found"))
+    order = F.struct(F.col("__id").isNull().alias("absent"), F.col("__id").alias("id"), F.col("__row").alias("row"))
+    stays = named.groupBy(F.col("part").alias("whole")).agg(F.min(order)["row"].alias("stay"))
+    gone = found.join(stays, F.col("part") == F.col("whole")).where("__found <> stay").select(F.col("__found").alias("__gone"))
+    return marked.join(written(gone, "near-gone"), F.col("__row") == F.col("__gone"), "left_anti").drop("__row")

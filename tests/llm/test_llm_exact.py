@@ -58,6 +58,17 @@ def test_dropping_exact_copies_keeps_columns(docs):
     assert {r[4] for r in exact_rows(pairs_of(left))} == kept
 
 
+def test_one_row_of_each_group_stays_whatever_its_id(spark):
+    base = sentence(random.Random(3), 80)
+    near = base.replace(base.split()[40], "changed", 1)
+    rows = [(1, base), (1, base), (None, base), (None, "none here"), (None, "none here"), (2, "other words"), (1, near), (None, near)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    exact = exact_dedup.drop_exact_copies(docs)
+    assert by_text(exact.collect()) == by_text([(1, base), (None, "none here"), (2, "other words"), (1, near)])
+    left = minhash.drop_near_duplicates(docs).collect()
+    assert len(left) == 3 and {r["text"] for r in left} - {base, near} == {"none here", "other words"}
+
+
 # --- 2: repeated strings --------------------------------------------------------------
 
 
