@@ -8,7 +8,11 @@ the end are exactly the sequences the merges produce, one for each text.
 
 All arcs with one label lead to one state, so a state is named by the token read last,
 and its history of cut arcs by that token and the right parts it was merged from.
-Transitions are looked up in a table that is filled as they are met.
+
+The merges are compiled once, on the driver, into packed arrays: a byte trie of all tokens
+that some text can have, and a table of arcs by state and token. Many words are encoded in
+step: the trie finds every token in them, and the table tells which one leads on from each
+state. Arcs are entered in the table as they are first met.
 """
 
 from __future__ import annotations
@@ -33,10 +37,12 @@ WHITE_SPACE = (
     *range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
     0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
 )
-MAX_CACHED_WORDS = 400_000
-MAX_CACHED_BYTES = 64
-MAX_TRANSITIONS = 1_000_000
-ROWS_A_BATCH = 512
+#: Bounds of what a task remembers: words that long, so many of them, half of 2 to the power of arcs.
+MAX_CACHED_BYTES, MAX_CACHED_WORDS, TABLE_BITS = 48, 200_000, 20
+#: What is worked on at once: characters of texts, new words in step.
+CHARS_AT_ONCE, WORDS_IN_STEP = 1_000_000, 16_384
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
+ROWS_A_BATCH = 256
 
 
 def byte_of_char() -> dict[str, int]:
@@ -46,8 +52,47 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Packed:
+    """A table of whole numbers from 0 up by whole numbers from 0 up, in two arrays; open addressing."""
+
+    def __init__(self, bits: int):
+        self.bits, self.size = bits, 0
+        self.keys = np.full(1 << bits, -1, dtype=np.int64)
+        self.values = np.zeros(1 << bits, dtype=np.int32)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * SPREAD) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key, -1 for those that are not in."""
+        slots = self._slots(keys)
+        held = self.keys[slots]
+        out = np.where(held == keys, self.values[slots], -1)
+        open_ = np.flatnonzero((held != keys) & (held >= 0))
+        while len(open_):
+            slots[open_] = (slots[open_] + 1) & (len(self.keys) - 1)
+            held, wanted = self.keys[slots[open_]], keys[open_]
+            out[open_] = np.where(held == wanted, self.values[slots[open_]], -1)
+            open_ = open_[(held != wanted) & (held >= 0)]
+        return out
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Enter different keys that are not in; beyond half of the room all others go first."""
+        if self.size + len(keys) > len(self.keys) // 2:
+            self.keys.fill(-1)
+            self.size = 0
+        self.size += len(keys)
+        slots = self._slots(keys)
+        while len(keys):
+            free = self.keys[slots] < 0
+            self.keys[slots[free]] = keys[free]
+            won = self.keys[slots] == keys
+            self.values[slots[won]] = values[won]
+            slots, keys, values = (slots[~won] + 1) & (len(self.keys) - 1), keys[~won], values[~won]
+
+
 class Automaton:
-    """Compiled merges: ``encode`` splits bytes into token ids, ``label`` spells an id."""
+    """Compiled merges: ``encode`` and ``encode_all`` split bytes into token ids, ``label`` spells an id."""
 
     def __init__(self, vocabulary: dict[bytes, int], merges: list[tuple[bytes, bytes]]):
         size = max(vocabulary.values(), default=-1) + 1
@@ -57,7 +102,7 @@ class Automaton:
         self.label: list[bytes] = [b""] * size
         self.cut: dict[tuple[int, int], int] = {}
         self.token: dict[bytes, int] = {}
-        self.table: dict[int, bool] = {}
+        self.table = Packed(TABLE_BITS)
         for text, number in vocabulary.items():
             self.label[number] = text
             if len(text) == 1:
@@ -65,6 +110,21 @@ class Automaton:
         for rank, (u, v) in enumerate(merges):
             self.add_gadget(vocabulary[u], vocabulary[v], vocabulary[u + v], rank)
         self.longest = max(map(len, self.token), default=0)
+        self._pack_trie()
+
+    def _pack_trie(self) -> None:
+        nodes: dict[int, int] = {}
+        tokens = [-1]
+        for text, number in self.token.items():
+            at = 0
+            for byte in text:
+                at = nodes.setdefault(at << 8 | byte, len(tokens))
+                if at == len(tokens):
+                    tokens.append(-1)
+            tokens[at] = number
+        self.trie = Packed(max(4, (4 * len(nodes)).bit_length()))
+        self.trie.put(np.array(list(nodes), np.int64), np.array(list(nodes.values()), np.int32))
+        self.token_at = np.array(tokens, dtype=np.int32)
 
     def add_gadget(self, u: int, v: int, merged: int, rank: int) -> None:
         if (u, v) in self.cut or self.birth[merged] >= 0:
@@ -94,26 +154,41 @@ class Automaton:
             a, until_a = right[a], birth[a]
         return True
 
-    def step(self, last: int, token: int) -> bool:
-        key = last << 32 | token
-        found = self.table.get(key)
-        if found is None:
-            if len(self.table) >= MAX_TRANSITIONS:
-                self.table.clear()
-            found = self.table[key] = self.arc(last, token, len(self.cut))
-        return found
+    def goes(self, lasts: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """For each state, named by its last token, whether it has the arc."""
+        keys = lasts.astype(np.int64) << 32 | tokens
+        found = self.table.get(keys)
+        new = np.unique(keys[found < 0])
+        if len(new):
+            now = len(self.cut)
+            arcs = [self.arc(key >> 32, key & 0xFFFFFFFF, now) for key in new.tolist()]
+            for start in range(0, len(new), 1 << (TABLE_BITS - 2)):
+                part = slice(start, start + (1 << (TABLE_BITS - 2)))
+                self.table.put(new[part], np.array(arcs[part], np.int32))
+            missing = found < 0
+            found[missing] = np.array(arcs, np.int32)[np.searchsorted(new, keys[missing])]
+        return found > 0
 
     def encode(self, word: bytes) -> list[int]:
-        """The one accepted path that spells ``word``: every prefix has one last token."""
-        token, step = self.token, self.step
+        """The one accepted path that spells ``word``: every prefix has one last token.
+
+        Goes through one word, however long, in a time that grows with its length.
+        """
+        token, now = self.token, len(self.cut)
         whole = token.get(word)
         if whole is not None:
             return [whole]
+        known: dict[tuple[int, int], bool] = {}
         lasts, starts = [-1], [0]
         for end in range(1, len(word) + 1):
             for start in range(max(0, end - self.longest), end):
                 found = token.get(word[start:end])
-                if found is not None and (start == 0 or step(lasts[start], found)):
+                if found is None:
+                    continue
+                pair = lasts[start], found
+                if start and pair not in known:
+                    known[pair] = self.arc(*pair, now)
+                if start == 0 or known[pair]:
                     lasts.append(found)
                     starts.append(start)
                     break
@@ -123,6 +198,62 @@ class Automaton:
             end = starts[end]
         return out[::-1]
 
+    def encode_all(self, words: list[bytes]) -> list[bytes]:
+        """The paths of all words, which are not empty, as little-endian unsigned 32-bit ids."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        flat = np.frombuffer(b"".join(words), dtype=np.uint8)
+        first = np.cumsum(sizes) - sizes
+        word = np.repeat(np.arange(len(words)), sizes)
+        # Every token in every word, by walking the trie from all places at once.
+        at = np.arange(len(flat))
+        room, node, size = (first + sizes)[word] - at, np.zeros(len(flat), np.int64), 0
+        begins, ends, tokens = [], [], []
+        while len(at):
+            node = self.trie.get(node << 8 | flat[at + size])
+            size += 1
+            on = node >= 0
+            at, room, node = at[on], room[on], node[on]
+            token = self.token_at[node]
+            full = token >= 0
+            begins.append(at[full])
+            ends.append(at[full] + size)
+            tokens.append(token[full])
+            on = room > size
+            at, room, node = at[on], room[on], node[on].astype(np.int64)
+        begin, end, token = map(np.concatenate, (begins, ends, tokens))
+        own = word[begin]
+        reach = end - first[own]
+        order = np.argsort(reach, kind="stable")
+        # A word of n bytes has n + 1 places, so words lie one place further apart.
+        begin, end, token, own = begin[order] + own[order], end[order] + own[order], token[order], own[order]
+        steps = np.searchsorted(reach[order], np.arange(1, sizes.max(initial=0) + 2))
+        last = np.full(len(flat) + len(words), -1, dtype=np.int64)
+        came = np.zeros(len(flat) + len(words), dtype=np.int64)
+        home = first + np.arange(len(words))
+        for low, high in zip(steps[:-1], steps[1:], strict=True):
+            here = slice(low, high)
+            b, e, t = begin[here], end[here], token[here]
+            start = b == home[own[here]]
+            good = start.copy()
+            inner = np.flatnonzero(~start)
+            good[inner] = self.goes(last[b[inner]], t[inner])
+            last[e[good]], came[e[good]] = t[good], b[good]
+        # Back from the ends, all words at once.
+        who, place = np.arange(len(words)), home + sizes
+        path, owner = [], []
+        while len(who):
+            path.append(last[place])
+            owner.append(who)
+            place = came[place]
+            on = place > home[who]
+            who, place = who[on], place[on]
+        if not path:
+            return []
+        owner_, path_ = np.concatenate(owner[::-1]), np.concatenate(path[::-1])
+        ids = path_[np.argsort(owner_, kind="stable")].astype("<u4").tobytes()
+        stops = np.cumsum(np.bincount(owner_, minlength=len(words))) * 4
+        return [ids[a:b] for a, b in zip([0, *stops.tolist()[:-1]], stops.tolist(), strict=True)]
+
 
 class Tokenizer(dict):
     """Texts to ids and back; as a dict it remembers words by their bytes."""
@@ -144,24 +275,48 @@ class Tokenizer(dict):
         self.cutter = re.compile(f"({'|'.join(longest_first)})") if longest_first else None
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = np.array(self.automaton.encode(word), dtype="<u4").tobytes()
-        if len(word) <= MAX_CACHED_BYTES:
-            if len(self) >= MAX_CACHED_WORDS:
-                self.clear()
-            self[word] = ids
-        return ids
+        """Long words are encoded each time they are met."""
+        return np.array(self.automaton.encode(word), dtype="<u4").tobytes()
+
+    def learn(self, pieces: list[list[bytes]]) -> None:
+        """Encode all words of ``pieces`` that are short and new, in step, and remember them."""
+        new = [w for w in set().union(*pieces).difference(self) if len(w) <= MAX_CACHED_BYTES]
+        if len(self) + len(new) > MAX_CACHED_WORDS:
+            self.clear()
+            new = [w for w in set().union(*pieces) if len(w) <= MAX_CACHED_BYTES]
+        for start in range(0, len(new), WORDS_IN_STEP):
+            part = new[start : start + WORDS_IN_STEP]
+            self.update(zip(part, self.automaton.encode_all(part), strict=True))
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers; none for null and empty ones."""
+        out: list[bytes] = []
+        start = 0
+        while start < len(texts):
+            stop, chars = start, 0
+            while stop < len(texts) and (stop == start or chars < CHARS_AT_ONCE):
+                chars += len(texts[stop] or "")
+                stop += 1
+            split = [self.split(t) if t else [] for t in texts[start:stop]]
+            self.learn([x for parts in split for x in parts if isinstance(x, list)])
+            for parts in split:
+                found = [b"".join(map(self.__getitem__, x)) if isinstance(x, list) else x for x in parts]
+                out.append(b"".join(found))
+            start = stop
+        return out
+
+    def split(self, text: str) -> list[list[bytes] | bytes]:
+        """The words of a text, and between them the ids of special tokens spelled in it."""
+        if self.cutter is None or not any(s in text for s in self.special):
+            return [words(text)]
+        return [
+            np.array([self.special[part]], dtype="<u4").tobytes() if part in self.special else words(part)
+            for part in self.cutter.split(text)
+            if part
+        ]
 
     def encode(self, text: str) -> bytes:
-        """The ids of ``text`` as little-endian unsigned 32-bit integers."""
-        if self.cutter is None or not any(s in text for s in self.special):
-            return b"".join(map(self.__getitem__, words(text)))
-        out = []
-        for part in self.cutter.split(text):
-            if part in self.special:
-                out.append(np.array([self.special[part]], dtype="<u4").tobytes())
-            elif part:
-                out.extend(map(self.__getitem__, words(part)))
-        return b"".join(out)
+        return self.encode_all([text])[0]
 
     def decode(self, ids: bytes) -> str:
         """The arcs' labels in sequence; bytes that are no UTF-8 are replaced."""
@@ -206,16 +361,19 @@ def words(text: str) -> list[bytes]:
     return spread.tobytes().decode("utf-32-le").encode().split(b"\0")
 
 
-@lru_cache(maxsize=2)
 def tokenizer(spec: str) -> Tokenizer:
     return Tokenizer(spec)
 
 
 def read_spec(path: str) -> str:
-    """A tokenizer file; the driver reads it, and its size bounds what executors get."""
     return Path(path).read_text(encoding="utf-8")
 
 
+def compiled(path: str) -> Tokenizer:
+    """The automaton of a tokenizer file, made on the driver; its size follows the file's."""
+    return tokenizer(read_spec(path))
+
+
 def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, n_tokens, ids)``: every whole text as token ids.
 
@@ -224,22 +382,35 @@ def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: s
     row, repeated ones too; other columns are not read. Nothing is shuffled, and an
     executor holds a batch of rows and a bounded table of words at a time.
     """
-    spec = docs.sparkSession.sparkContext.broadcast(read_spec(path))
+    return _coded(docs, path, doc_id, text, decode=False)
+
+
+def encode_and_decode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(doc_id, n_tokens, ids, decoded)``: as :func:`encode_documents`, and the ids' text.
+
+    Both are done while a row is held, in one pass; null and empty texts decode to the empty one.
+    """
+    return _coded(docs, path, doc_id, text, decode=True)
+
+
+def _coded(docs: DataFrame, path: str, doc_id: str, text: str, decode: bool) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(compiled(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = tokenizer(spec.value)
+        tool = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_A_BATCH):
                 part = batch.slice(at, ROWS_A_BATCH)
-                ids = [tool.encode(t) if t else b"" for t in part.column(1).to_pylist()]
+                ids = tool.encode_all(part.column(1).to_pylist())
                 counts = pa.array([len(x) // 4 for x in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), counts, pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"]
-                )
+                columns = [part.column(0), counts, pa.array(ids, pa.binary())]
+                if decode:
+                    columns.append(pa.array(map(tool.decode, ids), pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids", "decoded"][: len(columns)])
 
     rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids binary" + (", decoded string" if decode else ""))
 
 
 def decode_documents(encoded: DataFrame, path: str, ids: str = "ids", into: str = "text") -> DataFrame:
@@ -247,12 +418,12 @@ def decode_documents(encoded: DataFrame, path: str, ids: str = "ids", into: str
 
     An id beyond the vocabulary fails the job, as it has no label.
     """
-    spec = encoded.sparkSession.sparkContext.broadcast(read_spec(path))
+    shared = encoded.sparkSession.sparkContext.broadcast(compiled(path))
     kept = encoded.drop(into)
     column = kept.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = tokenizer(spec.value)
+        tool = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_A_BATCH):
                 part = batch.slice(at, ROWS_A_BATCH)

@@ -55,10 +55,8 @@ def vocabulary_path() -> str:
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = vocabulary_path()
-    encoded = bpe.encode_documents(table(spark, sf_dir, "documents"), path)
-    decoded = bpe.decode_documents(encoded, path, into="decoded")
-    return decoded.select(
+    coded = bpe.encode_and_decode(table(spark, sf_dir, "documents"), vocabulary_path())
+    return coded.select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
