@@ -135,19 +135,3 @@ def draw(key, seed: str = SEED):
     """A number in [0, 1) from 48 bits of MD5; a null key draws as the empty text."""
     digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), F.lit(""))).cast("binary"))
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("long") / F.lit(float(1 << 48))
-
-
-def repeat_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
-    """``docs`` with every row as often as the mix takes it, columns unchanged.
-
-    The mix's cut and rates are joined back by source and the draw is made again, so the
-    rows themselves are not shuffled by document.
-    """
-    taken = mix(docs, doc_id, text, source, **options).select(
-        F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source"), F.col("repetitions").alias("__times")
-    ).distinct()
-    joined = docs.join(
-        taken, F.col(doc_id).eqNullSafe(F.col("__mix_id")) & F.col(source).eqNullSafe(F.col("__mix_source"))
-    )
-    copies = F.explode(F.array_repeat(F.lit(True), F.col("__times").cast("int")))
-    return joined.withColumn("__copy", copies).drop("__mix_id", "__mix_source", "__times", "__copy")
