@@ -21,7 +21,7 @@ from tallywright.llm.shingles import shingle_set, similar
 
 BANDS, ROWS, UNIVERSE_BITS, SEED = 32, 4, 20, 7
 #: Coordinates, of which the first go into bands, and the part of them alike that a pair needs.
-COORDINATES, ESTIMATE = 512, 0.68
+COORDINATES, ESTIMATE = 512, 0.64
 #: Members of a bucket that meet in one task are at most about twice as many.
 BLOCK = 256
 FIRST = np.uint64(0xA24BAED4963EE407)
@@ -194,8 +194,8 @@ def near_duplicates(
     member is first held against the bucket's smallest, which is linear in its size, and
     the links that hold are united. Then only members of different components are held
     against each other, by their sketches and in blocks, so a large group of near copies is
-    never written out as pairs; at the threshold one pair in ten thousand has fewer than
-    ``estimate`` of 512 coordinates alike. No bucket is cut. Links are confirmed on the texts, which are taken once, and only of
+    never written out as pairs; at the threshold about one pair in ten million has fewer than
+    ``estimate`` of 512 coordinates alike, far fewer than banding misses. No bucket is cut. Links are confirmed on the texts, which are taken once, and only of
     documents that share a bucket with others.
 
     Null and empty texts have no shingles and are linked with nothing. Rows that repeat an

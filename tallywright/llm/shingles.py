@@ -8,16 +8,19 @@ import xxhash
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
-MAX_WORDS = 500_000
+#: Words that a task remembers; of long ones only the hash is taken each time.
+MAX_WORDS, MAX_WORD_BYTES = 150_000, 48
 
 
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= MAX_WORDS:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word)
+        found = xxhash.xxh64_intdigest(word)
+        if len(word) <= MAX_WORD_BYTES:
+            if len(self) >= MAX_WORDS:
+                self.clear()
+            self[word] = found
         return found
 
 
