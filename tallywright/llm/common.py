@@ -11,7 +11,7 @@ WHITE = " \t\n\x0b\x0c\r"
 WHITE_CLASS = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WHITE", "WHITE_CLASS", "WORD", "components", "held_out", "table", "written"]
+__all__ = ["WHITE", "WHITE_CLASS", "WORD", "components", "drawn", "held_out", "table", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,21 @@ def held_out(key: Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
+def drawn(rows: DataFrame, place: Column, n: int, *ties: Column) -> DataFrame:
+    """At most ``n`` of ``rows``, those with the smallest ``place``, a 64-bit hash; ``ties`` order equal ones.
+
+    Rows are counted first, and those whose hash lies beyond the share that is needed, with
+    room for chance, go where they are: what meets in one task is little more than ``n``
+    rows however many tasks there are.
+    """
+    total = rows.count()
+    if total == 0:
+        return rows
+    share = min(1.0, (n + 6 * n**0.5 + 20) / total)
+    spread = (place.cast("double") / F.lit(float(1 << 64))) + 0.5
+    return rows.where(spread <= share).orderBy(place, *ties).limit(n)
+
+
 def components(nodes: DataFrame, edges: DataFrame, label: str = "components") -> DataFrame:
     """``(node, component)``: the smallest node reachable over undirected edges.
 

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallywright.llm.common import drawn, written
+
 #: Bounds of the samples a model is fitted on.
 POSITIVES, UNLABELLED = 6_000, 12_000
 CLASSES = 9
@@ -185,10 +187,12 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None
 def _featured(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [features(t).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["trusted", "features"])
+            made = [features(t).tobytes() for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(made, pa.binary())], ["trusted", "place", "features"]
+            )
 
-    return rows.mapInArrow(run, "trusted boolean, features binary")
+    return rows.mapInArrow(run, "trusted boolean, place long, features binary")
 
 
 def learn(
@@ -204,20 +208,26 @@ def learn(
     """A model from ``docs`` (``doc_id``, ``text``) and the ids in ``trusted`` (``doc_id``).
 
     At most ``positives`` trusted and ``unlabelled`` other ids are drawn, in the order of a
-    hash of the id; only their features reach the driver. The unlabelled sample is drawn
-    from all of ``docs``, trusted ones included, as the mixture is. Null ids are not drawn,
-    and an id that several rows have counts with each of its texts, up to the bounds.
+    hash of the id, and of each kind at most twice as many of their different texts, in the
+    order of a hash of both; only their features reach the driver. The unlabelled sample is
+    drawn from all of ``docs``, trusted ones included, as the mixture is. Null ids are not
+    drawn, and an id that several rows have counts with each of its texts, up to the bounds.
     """
     ids = docs.select(docs[doc_id].alias("id")).where("id IS NOT NULL").distinct()
     good = trusted.select(trusted[doc_id].alias("id")).where("id IS NOT NULL").distinct()
-    pick = lambda rows, n, salt: rows.orderBy(F.xxhash64("id", F.lit(salt)), "id").limit(n)
+    pick = lambda rows, n, salt: drawn(rows, F.xxhash64("id", F.lit(salt)), n, F.col("id"))
     good = pick(good.join(ids, "id", "left_semi"), positives, 1).withColumn("trusted", F.lit(True))
-    drawn = good.unionByName(pick(ids, unlabelled, 2).withColumn("trusted", F.lit(False)))
+    sampled = written(good.unionByName(pick(ids, unlabelled, 2).withColumn("trusted", F.lit(False))), "quality-ids")
     rows = docs.select(docs[doc_id].alias("row_id"), docs[text].cast("string").alias("text"))
     # Bounded by the two sample sizes whatever the input.
-    rows = rows.join(F.broadcast(drawn), F.col("row_id") == F.col("id")).select("trusted", "text")
-    found = _featured(rows).orderBy("trusted", "features").limit(2 * (positives + unlabelled)).collect()
-    sample = {kind: [np.frombuffer(r["features"], np.float32) for r in found if r["trusted"] == kind] for kind in (True, False)}
+    rows = rows.join(F.broadcast(sampled), F.col("row_id") == F.col("id"))
+    rows = rows.withColumn("place", F.xxhash64("row_id", "text")).select("trusted", "place", "text")
+    made = written(_featured(rows).dropDuplicates(["trusted", "place"]), "quality-sample")
+    sample = {}
+    for kind, n in ((True, positives), (False, unlabelled)):
+        found = drawn(made.where(F.col("trusted") == kind), F.col("place"), 2 * n).collect()
+        sample[kind] = sorted(r["features"] for r in found)
+        sample[kind] = [np.frombuffer(x, np.float32) for x in sample[kind]]
     rng = np.random.RandomState(seed)
     parts = [np.array(sample[k], dtype=np.float64).reshape(-1, FEATURES) for k in (True, False)]
     return fit(*(part[rng.permutation(len(part))] for part in parts), prior=prior, seed=seed)
