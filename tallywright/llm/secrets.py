@@ -5,18 +5,22 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tallywright.llm.common import written
+from tallywright.llm.common import drawn, written
+from tallywright.session import fresh_folder
 
 MIN_RUN, MIN_ASSIGNED = 12, 8
 #: Bounds of what is learned: words of the dictionary, labelled findings of each class.
@@ -37,14 +41,19 @@ KNOWN = re.compile(
     r"""(?P<cloud>(?<![A-Z0-9])AKIA[A-Z0-9]{16}(?![A-Z0-9]))"""
     r"""|(?:token|secret|api_key)\s?[=:]\s?["'](?P<token>[0-9A-Za-z+/_\-]{20,})["']"""
     r"""|(?:password|passwd)\s?[=:]\s?["']?(?P<password>[^\s"']{8,})"""
+    r"""|--(?:password|passwd|token|secret)[ =](?P<option>[^\s"']{8,})"""
 )
+#: A value that only a blank parts from the word that names it; the forest decides.
+NAMED = re.compile(r"""\b(?:password|passwd|secret|token|api[_-]?key)[ \t]+["']?([^\s"']{8,})""", re.IGNORECASE)
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Spans of runs of key characters with a digit, and of assigned values, in order.
+    """Spans that may hold a secret, in order: what :data:`KNOWN` tells, runs of key characters
+    with a digit, and values that are assigned or named by the word before.
 
     Runs have :data:`MIN_RUN` characters or more. A run is found by its first digit, so plain
-    words cost a scan for digits only. Of overlapping spans the one that begins first stays.
+    words cost a scan for digits only. Known formats win over other spans; of others that
+    overlap the one that begins first stays.
     """
     found, at = set(), 0
     while digit := DIGIT.search(text, at):
@@ -54,13 +63,17 @@ def candidates(text: str) -> list[tuple[int, int]]:
         at = RIGHT.match(text, digit.start()).end()
         if at - begin >= MIN_RUN:
             found.add((begin, at))
-    for match in ASSIGNED.finditer(text):
-        found.add(match.span(1))
-    out: list[tuple[int, int]] = []
-    for begin, end in sorted(found):
-        if not out or begin >= out[-1][1]:
+    for pattern in (ASSIGNED, NAMED):
+        found.update(match.span(1) for match in pattern.finditer(text))
+    known = [m.span(m.lastgroup) for m in KNOWN.finditer(text)]
+    starts = [begin for begin, _ in known]
+    out, last = list(known), 0
+    for begin, end in sorted(found.difference(known)):
+        place = bisect_right(starts, begin)
+        if begin >= last and all(b <= begin or a >= end for a, b in known[max(0, place - 1) : place + 1]):
             out.append((begin, end))
-    return out
+            last = end
+    return sorted(out)
 
 
 def label_known(text: str, spans: list[tuple[int, int]]) -> list[bool]:
@@ -159,8 +172,34 @@ def count_words(docs: DataFrame, text: str = "text", size: int = DICTIONARY_WORD
         yield emit(counts)
 
     counted = docs.select(docs[text].cast("string")).mapInArrow(run, "word string, n long")
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
-    return {r["word"]: r["n"] for r in top.collect()}
+    counted = written(counted.groupBy("word").agg(F.sum("n").alias("n")), "secret-words")
+    return {r["word"]: r["n"] for r in _most(counted, size).collect()}
+
+
+def _most(counted: DataFrame, size: int) -> DataFrame:
+    """The ``size`` rows of ``(word, n)`` with the largest ``n``, then by code point.
+
+    A histogram over counts, exact for small ones and in steps of a hundredth above, tells
+    where the cut lies; words surely above it are taken without a sort. Those of the step that
+    holds the cut are cut again by count, and equal counts by their first characters.
+    """
+    step = F.when(F.col("n") < 1024, F.col("n")).otherwise(1024 + F.floor(F.log(F.col("n") / 1024) * 100)).cast("long")
+    taken, rest, wanted = None, counted, size
+    for level in (step, F.col("n"), -F.coalesce(F.ascii("word"), F.lit(0)), -F.coalesce(F.ascii(F.substring("word", 2, 1)), F.lit(0))):
+        placed = rest.withColumn("level", level)
+        groups = placed.groupBy("level").count()
+        upto = Window.orderBy(F.desc("level"))
+        cut = groups.withColumn("upto", F.sum("count").over(upto)).where(F.col("upto") > wanted).orderBy(F.desc("level")).first()
+        if cut is None:
+            part, rest = placed, None
+        else:
+            part, rest = placed.where(F.col("level") > cut["level"]), placed.where(F.col("level") == cut["level"]).drop("level")
+            wanted -= cut["upto"] - cut["count"]
+        part = part.select("word", "n")
+        taken = part if taken is None else taken.unionByName(part)
+        if rest is None or wanted == 0:
+            return taken
+    return taken.unionByName(rest.orderBy("word").limit(wanted))
 
 
 def find_candidates(docs: DataFrame, known: Transitions, doc_id: str = "doc_id", text: str = "text", path: str | None = "source") -> DataFrame:
@@ -195,28 +234,79 @@ def find_candidates(docs: DataFrame, known: Transitions, doc_id: str = "doc_id",
     return rows.mapInArrow(run, f"doc_id {kind}, begin long, end long, value string, looks_known boolean, features array<double>")
 
 
-def train(labelled: DataFrame, max_labelled: int = MAX_LABELLED, trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> RandomForestClassificationModel | None:
+@dataclass
+class Forest:
+    """Trees as arrays, a row for each tree: at node ``i`` go to ``left`` or ``right`` by whether
+    ``feature`` is at most ``threshold``; a leaf has a negative feature and the ``share`` of secrets."""
+
+    feature: np.ndarray
+    threshold: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    share: np.ndarray
+
+    def score(self, rows: np.ndarray) -> np.ndarray:
+        """The mean over trees of the share in the leaf that a row ends in."""
+        out = np.zeros(len(rows))
+        for tree in range(len(self.feature)):
+            at, moving = np.zeros(len(rows), dtype=np.int64), np.arange(len(rows))
+            while len(moving):
+                feature = self.feature[tree, at[moving]]
+                moving, feature = moving[feature >= 0], feature[feature >= 0]
+                here = at[moving]
+                below = rows[moving, feature] <= self.threshold[tree, here]
+                at[moving] = np.where(below, self.left[tree, here], self.right[tree, here])
+            out += self.share[tree, at]
+        return out / len(self.feature)
+
+
+def _forest(model, spark) -> Forest:
+    """The trees of a fitted model, by way of its stored form; trees x nodes rows, bounded by both settings."""
+    folder = fresh_folder(spark, "secret-forest")
+    model.write().save(folder)
+    data = spark.read.parquet(f"{folder}/data").select("treeID", "nodeData.*")
+    nodes = data.select("treeID", "id", "impurityStats", "leftChild", "rightChild", "split.*").collect()
+    trees, size = model.getNumTrees, 1 + max(r["id"] for r in nodes)
+    out = Forest(np.full((trees, size), -1, np.int64), *(np.zeros((trees, size), k) for k in (np.float64, np.int64, np.int64, np.float64)))
+    for r in nodes:
+        place, stats = (r["treeID"], r["id"]), r["impurityStats"]
+        out.share[place] = stats[1] / sum(stats) if sum(stats) else 0.5
+        if r["leftChild"] >= 0:
+            out.feature[place], out.threshold[place] = r["featureIndex"], r["leftCategoriesOrThreshold"][0]
+            out.left[place], out.right[place] = r["leftChild"], r["rightChild"]
+    return out
+
+
+def train(labelled: DataFrame, max_labelled: int = MAX_LABELLED, trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> Forest | None:
     """A forest from ``features`` and boolean ``label``; None unless both labels are there.
 
     At most ``max_labelled`` findings of each label are learned from, first in the order of
     a hash of their place, and in one order, so that reruns agree. Null labels are left out.
     """
     ranked = labelled.withColumn("place", F.xxhash64("doc_id", "begin", "end"))
-    parts = [ranked.where(F.col("label") == kind).orderBy("place", "value").limit(max_labelled) for kind in (True, False)]
+    parts = [drawn(ranked.where(F.col("label") == kind), F.col("place"), max_labelled, F.col("value")) for kind in (True, False)]
     sample = written(reduce(DataFrame.unionByName, parts).select(F.col("label").cast("double").alias("label"), "place", "features"), "secret-sample")
     if sample.select("label").distinct().count() < 2:
         return None
     ordered = sample.coalesce(1).sortWithinPartitions("label", "place", "features")
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, labelCol="label", featuresCol="vector")
-    return forest.fit(ordered.select("label", array_to_vector("features").alias("vector")))
+    return _forest(forest.fit(ordered.select("label", array_to_vector("features").alias("vector"))), labelled.sparkSession)
 
 
-def score(found: DataFrame, model: RandomForestClassificationModel | None) -> DataFrame:
+def score(found: DataFrame, forest: Forest | None) -> DataFrame:
     """``found`` with ``score``, the forest's probability of a secret; 0.5 without a forest."""
-    if model is None:
+    if forest is None:
         return found.withColumn("score", F.lit(0.5))
-    scored = model.transform(found.withColumn("vector", array_to_vector("features")))
-    return scored.withColumn("score", F.element_at(vector_to_array("probability"), 2)).drop("vector", "rawPrediction", "probability", "prediction")
+    shared = found.sparkSession.sparkContext.broadcast(forest)
+    column = found.columns.index("features")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.column(column).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            scores = shared.value.score(rows) if batch.num_rows else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, "score"])
+
+    return found.mapInArrow(run, StructType([*found.schema.fields, StructField("score", DoubleType())]))
 
 
 def scan(
