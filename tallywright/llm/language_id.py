@@ -6,21 +6,23 @@ labelled text. The language it reads like needs the fewest phrases for its lengt
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Bounds of what is learned from: characters (the last row is whole) and rows for each language, and languages.
-TRAIN_CHARS, TRAIN_ROWS, MAX_LANGUAGES = 40_000, 400, 256
+from tallywright.llm.common import written
+
+#: Bounds of what is learned from each language: characters (the last row is whole) and rows.
+TRAIN_CHARS, TRAIN_ROWS = 40_000, 400
 PIECE = 1024
 PIECES_AT_ONCE = 4096
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def suffix_automaton(codes: np.ndarray) -> list[dict[int, int]]:
@@ -223,16 +225,18 @@ def _is_letter(char: str) -> bool:
 
 def labelled_sample(docs: DataFrame, doc_id: str, text: str, lang: str, chars: int, rows: int) -> dict[str, list[str]]:
     """Whole texts by language, in the order of a hash of id and text, equal rows once: at most
-    ``rows``, and none after those that have ``chars`` characters together. Of the languages the
-    :data:`MAX_LANGUAGES` with most labelled rows are learned. Texts move only once chosen."""
-    most = docs.where(docs[lang].isNotNull()).groupBy(docs[lang].alias("learned")).count()
-    most = F.broadcast(most.orderBy(F.desc("count"), "learned").limit(MAX_LANGUAGES).select("learned"))
-    usable = docs.join(most, docs[lang] == F.col("learned"), "left_semi").where(F.length(docs[text]) > 0).select(
+    ``rows``, and none after those that have ``chars`` characters together. Every language is
+    learned. Texts move only once chosen."""
+    usable = docs.where(docs[lang].isNotNull() & (F.length(docs[text]) > 0)).select(
         docs[lang].alias("lang"), docs[text].alias("text"), F.xxhash64(docs[doc_id], docs[text]).alias("place")
     )
+    sizes = written(usable.groupBy("lang", "place").agg(F.max(F.length("text")).alias("size")), "language-sizes")
+    # Of a common language only the share of places that surely holds the first ``rows`` is ranked.
+    share = sizes.groupBy(F.col("lang").alias("of")).agg(F.least(F.lit(1.0), F.lit(rows + 6 * rows**0.5 + 20) / F.count("*")).alias("share"))
+    spread = F.col("place").cast("double") / F.lit(float(1 << 64)) + 0.5
+    near = sizes.join(share, F.col("lang") == F.col("of")).where(spread <= F.col("share")).drop("of", "share")
     order = Window.partitionBy("lang").orderBy("place")
-    sizes = usable.groupBy("lang", "place").agg(F.max(F.length("text")).alias("size"))
-    first = sizes.withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows).drop("n")
+    first = near.withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows).drop("n")
     chosen, held = [], {}
     for row in first.orderBy("lang", "place").toLocalIterator():
         if held.get(row["lang"], 0) < chars:
