@@ -1,4 +1,10 @@
-"""From raw documents to token ids: the operators of ``tallywright.llm`` in sequence."""
+"""From raw documents to token ids: the operators of ``tallywright.llm`` in sequence.
+
+Rows are judged one by one in every stage, whatever their id: a null or repeated one is no
+exception. Null and empty texts go in the first stage, as they score 0, so later stages
+meet none; each of them would let such rows through by its own rules. An empty table gives
+an empty result of the same columns.
+"""
 
 from __future__ import annotations
 
@@ -30,8 +36,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every row, repeated ones too."""
-    return bpe.encode_documents(docs, vocabulary_path())
+    """Token ids of every row, repeated ones too, and the text that they decode to."""
+    return bpe.encode_and_decode(docs, vocabulary_path())
 
 
 STAGES = [
@@ -39,7 +45,7 @@ STAGES = [
     ("exact dedup", drop_exact),
     ("MinHash near-dedup", drop_near),
     ("mixing sources", mix_sources),
-    ("BPE encoding", tokens),
+    ("BPE encoding and decoding", tokens),
 ]
 
 #: Stages are learned or iterative, which SQL does not express; tests hold them against brute force.
