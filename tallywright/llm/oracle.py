@@ -109,8 +109,84 @@ JOIN rates r ON d.source IS NOT DISTINCT FROM r.source
 LEFT JOIN cuts c ON d.source IS NOT DISTINCT FROM c.source AND c.n = 1
 """
 
+
+
+def _merkle_field(value: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({value} AS VARCHAR)) AS VARCHAR) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _merkle_leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_merkle_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+def _merkle_levels(name: str, first: str, levels: int) -> str:
+    """Runs and nodes of each level; trees with one node left stay as they are."""
+    out = [f"{name}_n0 AS ({first})"]
+    for k in range(levels):
+        out.append(
+            f"{name}_r{k} AS (SELECT tree, i // 16 AS r, any_value(n) AS n, string_agg(digest, '' ORDER BY i) AS run "
+            f"FROM {name}_n{k} GROUP BY tree, i // 16)"
+        )
+        out.append(
+            f"{name}_n{k + 1} AS (SELECT tree, r AS i, (n + 15) // 16 AS n, "
+            f"CASE WHEN n = 1 THEN run ELSE sha256(run) END AS digest FROM {name}_r{k})"
+        )
+    return ",\n".join(out)
+
+
+def _merkle_steps(name: str, row: str, levels: int) -> str:
+    """Add each level's siblings to ``proof`` and fold ``folded`` with them; ``i`` counts up the levels."""
+    out, before = [], row
+    for k in range(levels):
+        place = "64 * (d.i % 16)"
+        ahead, behind = f"substr(r.run, 1, {place})", f"substr(r.run, {place} + 65)"
+        out.append(
+            f"{name}_s{k} AS (SELECT d.* REPLACE (d.i // 16 AS i, "
+            f"d.proof || CASE WHEN r.n = 1 THEN '' ELSE {ahead} || {behind} END AS proof, "
+            f"CASE WHEN r.n = 1 THEN d.folded ELSE sha256({ahead} || d.folded || {behind}) END AS folded) "
+            f"FROM {before} d JOIN {name}_r{k} r ON d.tree = r.tree AND d.i // 16 = r.r)"
+        )
+        before = f"{name}_s{k}"
+    return ",\n".join(out)
+
+
+def merkle(levels: int = 5) -> str:
+    """Trees of up to 16 to the power of ``levels`` leaves; a tree's name puts the null source first."""
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    lowered = f"translate(text, '{capitals}', '{capitals.lower()}')"
+    digits = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    bits = "list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))"
+    crc = f"xor(list_reduce(list_prepend(4294967295, {digits}), lambda crc, byte: {bits}), 4294967295)"
+    return f"""
+WITH hashed AS (
+  SELECT doc_id, CASE WHEN source IS NULL THEN '' ELSE '+' || source END AS tree,
+         {_merkle_leaf('text')} AS leaf,
+         CASE WHEN doc_id IS NOT NULL AND {crc} % 5 = 0 THEN {_merkle_leaf(lowered)} END AS altered
+  FROM documents),
+leaves AS (
+  SELECT doc_id, tree, leaf, coalesce(altered, leaf) AS folded, '' AS proof,
+         row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+         count(*) OVER (PARTITION BY tree) AS n
+  FROM hashed),
+{_merkle_levels('low', 'SELECT tree, i, n, leaf AS digest FROM leaves', levels)},
+groups AS (
+  SELECT '' AS tree, tree AS name, digest, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n
+  FROM low_n{levels}),
+{_merkle_levels('top', 'SELECT tree, i, n, digest FROM groups', levels)},
+{_merkle_steps('low', 'leaves', levels)},
+lifted AS (
+  SELECT l.doc_id, l.leaf, l.folded, l.proof, g.digest AS subroot, '' AS tree, g.i
+  FROM low_s{levels - 1} l JOIN groups g ON l.tree = g.name),
+{_merkle_steps('top', 'lifted', levels)}
+SELECT s.doc_id, s.leaf, s.subroot, t.digest AS root, sha256(s.proof) AS proof_sha256,
+       s.folded AS folded_root, s.folded = t.digest AS verified
+FROM top_s{levels - 1} s, top_n{levels} t
+"""
+
+
 ORACLE = {
     "op4_url_filter": URL_FILTER,
     "op5_exact_dedup": EXACT_DEDUP,
     "op6_mixing": MIXING,
+    "op11_merkle": merkle(),
 }

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import bpe, embedding_dedup, exact_dedup, language_id, minhash, mixing, quality, secrets, suffix_dedup, url_filter
+from tallywright.llm import (
+    alignment,
+    bpe,
+    embedding_dedup,
+    exact_dedup,
+    language_id,
+    merkle,
+    minhash,
+    mixing,
+    quality,
+    secrets,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+)
 from tallywright.llm.common import held_out, table
 
 URL_RULES = [
@@ -47,11 +61,11 @@ def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def vocabulary_path() -> str:
-    """The tokenizer file of the registered queries; the package lies beside the interpreter's own."""
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    """A tokenizer file of the registered queries; the package lies beside the interpreter's own."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +112,30 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "begin", "end", "score", "secret")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lowered = F.translate("text", merkle.CAPITALS, merkle.CAPITALS.lower())
+    return merkle.prove(table(spark, sf_dir, "documents"), altered={"text": lowered}, where=held_out(F.col("doc_id"), 5, 0))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    aligned, _ = alignment.align(docs, vocabulary_path(), vocabulary_path("piece_bpe_32k.model"))
+    return aligned.drop("a", "b")
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    taught = lambda rows: rows.where(~held_out(F.col("doc_id"), 5, 0))
+    model = toxicity.learn(taught(docs), taught(table(spark, sf_dir, "labels")))
+    scored = toxicity.score_documents(docs, model)
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id"), 5, 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
@@ -110,4 +148,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_minhash": op9_minhash,
         "op10_secrets": op10_secrets,
+        "op11_merkle": op11_merkle,
+        "op12_alignment": op12_alignment,
+        "op13_toxicity": op13_toxicity,
     }
