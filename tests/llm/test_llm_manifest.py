@@ -323,7 +323,7 @@ def test_toxicity_on_held_out_rows(spark):
     scored = queries.op13_toxicity(spark, sf).where("held_out")
     rows = scored.join(table(spark, sf, "labels"), "doc_id").select("score", "predicted", "toxic").collect()
     bad, good = ([r["predicted"] for r in rows if r["toxic"] == kind] for kind in (1, 0))
-    assert np.mean(bad) > 0.9 and np.mean(good) < 0.02
+    assert np.mean(bad) > 0.85 and np.mean(good) < 0.02
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
