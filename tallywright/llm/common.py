@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,13 +15,33 @@ WHITE = " \t\n\x0b\x0c\r"
 WHITE_CLASS = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WHITE", "WHITE_CLASS", "WORD", "components", "drawn", "held_out", "table", "written"]
+__all__ = ["WHITE", "WHITE_CLASS", "WORD", "components", "drawn", "held_out", "table", "tidy", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tidy(run: Callable[[Iterator], Iterator], *forget: Callable[[], None]) -> Callable[[Iterator], Iterator]:
+    """``run`` for ``mapInArrow``, giving memory back to the system when a task is over.
+
+    Workers serve one stage after the other; what the last one held would stay theirs.
+    """
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            for drop in forget:
+                drop()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return wrapped
+
+
 def held_out(key: Column, folds: int, fold: int) -> Column:
     """Whether crc32 of the key as text leaves ``fold``; false for a null key."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % folds == fold, F.lit(False))

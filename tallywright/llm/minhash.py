@@ -16,12 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywright.llm.common import components, written
-from tallywright.llm.shingles import shingle_set, similar
+from tallywright.llm.common import components, tidy, written
+from tallywright.llm.shingles import forget_words, shingle_set, similar
 
 BANDS, ROWS, UNIVERSE_BITS, SEED = 32, 4, 20, 7
 #: Coordinates, of which the first go into bands, and the part of them alike that a pair needs.
-COORDINATES, ESTIMATE = 512, 0.64
+COORDINATES, ESTIMATE = 1024, 0.67
 #: Members of a bucket that meet in one task are at most about twice as many.
 BLOCK = 256
 FIRST = np.uint64(0xA24BAED4963EE407)
@@ -56,9 +56,22 @@ def band_hashes(coordinates: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def packed(coordinates: np.ndarray) -> bytes:
+    """Four bits of each coordinate, two to a byte."""
+    low = coordinates.astype(np.uint8) & 15
+    return (low[::2] | low[1::2] << 4).tobytes()
+
+
+def alike(rows: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """The part of coordinates that each packed row shares with ``one``, less what four bits share by chance."""
+    differ = rows ^ one
+    same = ((differ & 15) == 0).mean(axis=1) / 2 + ((differ & 240) == 0).mean(axis=1) / 2
+    return (same - 1 / 16) / (1 - 1 / 16)
+
+
 def sketches(docs: DataFrame, width: int, bands: int, rows: int, coordinates: int, bits: int, seed: int) -> DataFrame:
     """``(doc_id, n_shingles, digest, bands, sketch, marks)``: set size, MD5 of the set,
-    hashes of its bands, the low byte of each coordinate, half of each band's hash."""
+    hashes of its bands, its coordinates :func:`packed`, half of each band's hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -76,7 +89,7 @@ def sketches(docs: DataFrame, width: int, bands: int, rows: int, coordinates: in
                     digests.append(hashlib.md5(found.tobytes()).digest())
                     values = signature(found, coordinates, bits, seed)
                     made.append(band_hashes(values[: bands * rows], bands, rows))
-                    low.append(values.astype(np.uint8).tobytes())
+                    low.append(packed(values))
                     marks.append(made[-1].astype(np.int32).tobytes())
                 ends = np.concatenate([[0], np.cumsum([bands if n else 0 for n in sizes])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -91,7 +104,8 @@ def sketches(docs: DataFrame, width: int, bands: int, rows: int, coordinates: in
                     ["doc_id", "n_shingles", "digest", "bands", "sketch", "marks"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>, sketch binary, marks binary")
+    kind = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch binary, marks binary"
+    return docs.mapInArrow(tidy(run, forget_words, circulant.cache_clear), kind)
 
 
 def across_parts(members: DataFrame, percent: int, estimate: float, block: int) -> DataFrame:
@@ -122,7 +136,7 @@ def across_parts(members: DataFrame, percent: int, estimate: float, block: int)
             them = right[(part[right] != part[at]) & (100 * np.minimum(n[right], n[at]) >= percent * np.maximum(n[right], n[at]))]
             if i == j:
                 them = them[them > at]
-            them = them[(sketch[them] == sketch[at]).mean(axis=1) >= estimate]
+            them = them[alike(sketch[them], sketch[at]) >= estimate]
             shared = marks[them] == marks[at]
             them = them[marks[at][shared.argmax(axis=1)] == here]
             out_a.append(np.full(len(them), rep[at]))
@@ -145,7 +159,7 @@ def across_parts(members: DataFrame, percent: int, estimate: float, block: int)
         if group:
             yield flush(group)
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(tidy(run), "a long, b long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -167,7 +181,7 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
             chosen = pa.array(keep)
             yield pa.RecordBatch.from_arrays([a.filter(chosen), b.filter(chosen)], ["a", "b"])
 
-    return joined.select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "a_text", "b_text").mapInArrow(tidy(run, forget_words), "a long, b long")
 
 
 def near_duplicates(
@@ -194,8 +208,8 @@ def near_duplicates(
     member is first held against the bucket's smallest, which is linear in its size, and
     the links that hold are united. Then only members of different components are held
     against each other, by their sketches and in blocks, so a large group of near copies is
-    never written out as pairs; at the threshold about one pair in ten million has fewer than
-    ``estimate`` of 512 coordinates alike, far fewer than banding misses. No bucket is cut. Links are confirmed on the texts, which are taken once, and only of
+    never written out as pairs; at the threshold about one pair in twenty million falls below
+    ``estimate`` by its 1,024 coordinates, far fewer than banding misses. No bucket is cut. Links are confirmed on the texts, which are taken once, and only of
     documents that share a bucket with others.
 
     Null and empty texts have no shingles and are linked with nothing. Rows that repeat an
@@ -204,7 +218,8 @@ def near_duplicates(
     empty table is empty.
     """
     rows_in = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
-    sketched = written(sketches(rows_in, width, bands, rows, max(coordinates, bands * rows), bits, seed), "near-sketches")
+    even = max(coordinates, bands * rows) + 1 & ~1
+    sketched = written(sketches(rows_in, width, bands, rows, even, bits, seed), "near-sketches")
     usable = sketched.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = written(
         usable.groupBy("digest").agg(F.min("doc_id").alias("rep")).select(F.col("digest").alias("class_digest"), "rep"),

@@ -27,6 +27,10 @@ class WordHashes(dict):
 _hashes = WordHashes()
 
 
+def forget_words() -> None:
+    _hashes.clear()
+
+
 def shingle_set(text: str | None, width: int = 5) -> np.ndarray:
     """Distinct hashes, ascending, of all runs of ``width`` words; A-Z are lower-cased.
 
