@@ -30,6 +30,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tallywright.llm.common import tidy
+
 PATTERN = regex.compile(
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 )
@@ -38,9 +40,9 @@ WHITE_SPACE = (
     0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
 )
 #: Bounds of what a task remembers: words that long, so many of them, half of 2 to the power of arcs.
-MAX_CACHED_BYTES, MAX_CACHED_WORDS, TABLE_BITS = 48, 200_000, 20
+MAX_CACHED_BYTES, MAX_CACHED_WORDS, TABLE_BITS = 48, 150_000, 19
 #: What is worked on at once: characters of texts, new words in step.
-CHARS_AT_ONCE, WORDS_IN_STEP = 1_000_000, 16_384
+CHARS_AT_ONCE, WORDS_IN_STEP = 500_000, 8_192
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 ROWS_A_BATCH = 256
 
@@ -200,6 +202,8 @@ class Automaton:
 
     def encode_all(self, words: list[bytes]) -> list[bytes]:
         """The paths of all words, which are not empty, as little-endian unsigned 32-bit ids."""
+        if not words:
+            return []
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         flat = np.frombuffer(b"".join(words), dtype=np.uint8)
         first = np.cumsum(sizes) - sizes
@@ -247,8 +251,6 @@ class Automaton:
             place = came[place]
             on = place > home[who]
             who, place = who[on], place[on]
-        if not path:
-            return []
         owner_, path_ = np.concatenate(owner[::-1]), np.concatenate(path[::-1])
         ids = path_[np.argsort(owner_, kind="stable")].astype("<u4").tobytes()
         stops = np.cumsum(np.bincount(owner_, minlength=len(words))) * 4
@@ -410,7 +412,7 @@ def _coded(docs: DataFrame, path: str, doc_id: str, text: str, decode: bool) ->
 
     rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids binary" + (", decoded string" if decode else ""))
+    return rows.mapInArrow(tidy(run), f"doc_id {kind}, n_tokens long, ids binary" + (", decoded string" if decode else ""))
 
 
 def decode_documents(encoded: DataFrame, path: str, ids: str = "ids", into: str = "text") -> DataFrame:
@@ -433,4 +435,4 @@ def decode_documents(encoded: DataFrame, path: str, ids: str = "ids", into: str
                 )
 
     schema = StructType([*kept.schema.fields, StructField(into, StringType())])
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(tidy(run), schema)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywright.llm.common import drawn, written
+from tallywright.llm.common import drawn, tidy, written
 
 #: Bounds of the samples a model is fitted on.
 POSITIVES, UNLABELLED = 6_000, 12_000
@@ -253,7 +253,7 @@ def score_documents(docs: DataFrame, model: Model, doc_id: str = "doc_id", text:
 
     chosen = docs.select(docs[doc_id].alias("doc_id"), docs[text].cast("string").alias("text"))
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"doc_id {kind}, score double")
+    return chosen.mapInArrow(tidy(run), f"doc_id {kind}, score double")
 
 
 def keep_good(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.5) -> DataFrame:
@@ -273,4 +273,4 @@ def keep_good(docs: DataFrame, model: Model, text: str = "text", threshold: floa
                 scores = tool.score(np.array([features(t) for t in texts], dtype=np.float64).reshape(-1, FEATURES))
                 yield part.filter(pa.array((scores >= threshold) & np.array([bool(t) for t in texts])))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -281,8 +281,9 @@ def test_stages_chain_on_small_tables(spark, sf_small):
     good = labels.where("quality = 1").select("doc_id")
     assert good.join(first, "doc_id", "left_semi").count() > 0.9 * good.count()
     final = corpus_pipeline.run(spark, sf_small)
-    assert set(final.columns) == {"doc_id", "n_tokens", "ids"}
+    assert set(final.columns) == {"doc_id", "n_tokens", "ids", "decoded"}
     assert final.count() == left.count()
+    assert final.select("decoded").exceptAll(left.select("text")).count() == 0
 
 
 def test_nothing_else_imports_the_subpackage():
