@@ -170,3 +170,37 @@ def trend_forecast(prices: DataFrame, grain: str = "month") -> DataFrame:
             F.col("slope") * number(F.col("next_period")) + F.col("intercept"),
         )
     )
+
+
+def walk_forward(prices: DataFrame, grain: str = "month") -> DataFrame:
+    """Each period forecast by the line through the sector's earlier periods, and the error made.
+
+    The line comes from running sums of moments, so a period costs no more than a row. Periods
+    are counted from the sector's first one, which keeps the sums small. NULL before there
+    are two earlier prices.
+    """
+    if grain not in ("month", "day"):
+        raise ValueError(f"no trend by {grain!r}")
+    number = month_number if grain == "month" else day_number
+    whole = W.partitionBy("sector").orderBy("period").rowsBetween(W.unboundedPreceding, W.currentRow)
+    earlier = _by_sector().rowsBetween(W.unboundedPreceding, -1)
+    at = number(F.col("period")) - number(F.first("period").over(whole))
+    rows = prices.withColumn("_x", at.cast("double"))
+    x, y = F.when(F.col("close").isNotNull(), F.col("_x")), F.col("close")
+    sums = {"_n": F.count(y), "_sx": F.sum(x), "_sy": F.sum(y), "_sxx": F.sum(x * x), "_sxy": F.sum(x * y)}
+    rows = rows.withColumns({name: total.over(earlier) for name, total in sums.items()})
+    n, sx, sy, sxx, sxy = (F.col(name) for name in sums)
+    slope = (n * sxy - sx * sy) / F.nullif(n * sxx - sx * sx, F.lit(0.0))
+    rows = rows.withColumn("forecast", F.when(n > 1, (sy + slope * (n * F.col("_x") - sx)) / n))
+    return rows.withColumn("error", F.col("close") - F.col("forecast")).drop("_x", *sums)
+
+
+def forecast_errors(walked: DataFrame) -> DataFrame:
+    """How far off a sector's forecasts were: mean, mean absolute and root mean square error."""
+    error = F.col("error")
+    return walked.filter(error.isNotNull()).groupBy("sector").agg(
+        F.count(error).alias("forecasts"),
+        F.avg(error).alias("bias"),
+        F.avg(F.abs(error)).alias("mean_absolute"),
+        F.sqrt(F.avg(error * error)).alias("root_mean_square"),
+    )

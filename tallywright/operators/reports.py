@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywright.functions.money import MONEY, exact_sum
+from tallywright.functions.money import exact_parts, exact_sum, exact_total
 
 SAMPLE_COLUMNS = (
     "transaction_id",
@@ -26,18 +26,15 @@ def report_cube(flagged: DataFrame) -> DataFrame:
     return flagged.groupBy("is_fraudulent", "merchant_category", "card_type").agg(
         F.count("transaction_id").alias("tx_count"),
         F.count(F.lit(1)).alias("row_count"),
-        F.sum(F.col("amount").try_cast(MONEY)).alias("volume"),
-        F.sum(F.when(F.col("amount").try_cast(MONEY).isNull(), F.col("amount")).cast("double")).alias("odd_volume"),
+        *[F.sum(part).alias(f"volume_{n}") for n, part in enumerate(exact_parts("amount"))],
     )
 
 
 def _measures(df: DataFrame) -> tuple[Column, Column, Column]:
     """Id count, volume and rows per input row, for rows or for a cube of them."""
     if "row_count" in df.columns:
-        odd = F.sum("odd_volume")
-        exact = F.sum("volume").cast("double")
-        volume = F.when(odd.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + odd)
-        return F.sum("tx_count"), volume, F.col("row_count")
+        volumes = [F.sum(c) for c in df.columns if c.startswith("volume_")]
+        return F.sum("tx_count"), exact_total(volumes), F.col("row_count")
     return F.count("transaction_id"), exact_sum("amount"), F.lit(1)
 
 

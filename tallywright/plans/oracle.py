@@ -102,6 +102,31 @@ def _windows(name: str, source: str) -> str:
   FROM {source} GROUP BY 1, 2)"""
 
 
+def _bursts(condition: str = "TRUE") -> str:
+    return f"""
+WITH marked AS (
+  SELECT *, coalesce(ts > lag(ts) OVER w + INTERVAL 2 HOUR, TRUE) AS opens
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+numbered AS (
+  SELECT *, sum(opens::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                                  ROWS UNBOUNDED PRECEDING) AS burst FROM marked),
+found AS (
+  SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 2 HOUR AS "end", count(*) AS events,
+         round(sum(value), 2) AS total FROM numbered GROUP BY user_id, burst)
+SELECT * FROM found WHERE {condition}"""
+
+
+def _walked(source: str, key: str, x: str) -> str:
+    return f"""
+walked AS (
+  SELECT period, {key}, close,
+         CASE WHEN count(close) OVER w > 1
+              THEN regr_intercept(close, {x}) OVER w + regr_slope(close, {x}) OVER w * {x} END AS forecast
+  FROM {source}
+  WINDOW w AS (PARTITION BY {key} ORDER BY period
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
+
+
 def _expectation(name: str, table: str, failed: str) -> str:
     return f"""
 SELECT '{name}' AS expectation, count(*) AS checked_rows,
@@ -346,4 +371,70 @@ FROM b LEFT JOIN s ON b.window_start = s.window_start AND b.event_type = s.event
 WHERE b.events IS DISTINCT FROM s.events OR b.total IS DISTINCT FROM s.total""",
     "reconcile_rows": f"""
 WITH {RAW} SELECT *, 'only_stream' AS side, 1::BIGINT AS copies FROM raw WHERE amount <= 0""",
+    "reconcile_digest": f"""
+WITH {RAW} SELECT *, 'only_stream' AS side, 1::BIGINT AS copies FROM raw WHERE amount <= 0""",
+    "robust_outliers": f"""
+WITH {VALID},
+centred AS (SELECT *, median(amount) OVER (PARTITION BY customer_id) AS median FROM valid),
+spread AS (
+  SELECT *, median(abs(amount - median)) OVER (PARTITION BY customer_id) AS deviation FROM centred),
+scored AS (
+  SELECT *, (amount - median) / nullif(1.4826::DOUBLE * deviation, 0) AS robust_score FROM spread)
+SELECT transaction_id, customer_id, amount, round(median, 6) AS median,
+       round(deviation, 6) AS deviation, round(robust_score, 6) AS robust_score,
+       coalesce(abs(robust_score) > 3.5, FALSE) AS is_robust_outlier FROM scored""",
+    "customer_bursts": _bursts(),
+    "stream_bursts": _bursts(
+        "\"end\" <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY FROM events)"
+    ),
+    "silver_incremental": """
+WITH cleaned AS (
+  SELECT * REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM lineitem
+  WHERE l_quantity > 0 AND l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL),
+newest AS (
+  SELECT * FROM cleaned
+  QUALIFY row_number() OVER (
+    PARTITION BY l_orderkey, l_linenumber
+    ORDER BY l_shipdate DESC NULLS LAST, l_partkey DESC NULLS LAST, l_suppkey DESC NULLS LAST,
+             l_quantity DESC NULLS LAST, l_extendedprice DESC NULLS LAST,
+             l_discount DESC NULLS LAST, l_tax DESC NULLS LAST, l_returnflag DESC NULLS LAST,
+             l_linestatus DESC NULLS LAST) = 1)
+SELECT * FROM newest WHERE l_returnflag IS DISTINCT FROM 'R'""",
+    "purchase_quotes": """
+WITH clicks AS (
+  SELECT user_id, ts AS click_ts, event_id AS click_id, value AS click_value FROM events
+  WHERE event_type = 'click'
+  QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) = 1)
+SELECT p.event_id, p.user_id, p.ts, p.value, c.click_id, c.click_ts, c.click_value
+FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+ASOF LEFT JOIN clicks c ON p.user_id = c.user_id AND p.ts >= c.click_ts""",
+    "ewma_volatility": f"""
+WITH RECURSIVE {DAILY},
+steps AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY period) AS n FROM returns),
+walk AS (
+  SELECT *, period_return * period_return AS variance FROM steps WHERE n = 1
+  UNION ALL
+  SELECT s.*, CASE WHEN s.period_return IS NULL THEN w.variance
+                   WHEN w.variance IS NULL THEN s.period_return * s.period_return
+                   ELSE 0.94::DOUBLE * w.variance + (1 - 0.94::DOUBLE) * s.period_return * s.period_return END
+  FROM walk w JOIN steps s ON s.symbol = w.symbol AND s.n = w.n + 1)
+SELECT period, symbol, close, round(period_return, 6) AS period_return,
+       round(sqrt(variance), 6) AS ewma_volatility FROM walk""",
+    "walk_forward": f"""
+WITH {MONTHLY},
+points AS (SELECT *, ((year(period) - 1970) * 12 + month(period) - 1)::DOUBLE AS x FROM prices),
+{_walked('points', 'sector', 'x')}
+SELECT period, sector, close, round(forecast / nullif(close, 0), 6) AS forecast,
+       round((close - forecast) / nullif(close, 0), 6) AS error FROM walked""",
+    "forecast_errors": f"""
+WITH {DAILY},
+points AS (SELECT *, (period - DATE '1970-01-01')::DOUBLE AS x FROM closes),
+{_walked('points', 'symbol', 'x')},
+errors AS (SELECT symbol, close - forecast AS error FROM walked WHERE close - forecast IS NOT NULL)
+SELECT symbol, count(*) AS forecasts, round(avg(error), 4) AS bias,
+       round(avg(abs(error)), 4) AS mean_absolute,
+       round(sqrt(avg(error * error)), 4) AS root_mean_square FROM errors GROUP BY symbol""",
+    "stream_once": f"""
+WITH {SYNTHETIC}
+SELECT * EXCLUDE (ingestion_batch_id) REPLACE (CAST(amount AS DOUBLE) AS amount) FROM synthetic""",
 }

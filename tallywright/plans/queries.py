@@ -9,8 +9,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.operators import bronze, marts, quality, reconcile, reports
+from tallywright.operators import bronze, changes, digest, marts, quality, reconcile, reports
+from tallywright.operators.asof import as_of_join
+from tallywright.operators.bursts import burst_windows, bursts
 from tallywright.operators.profile import with_past_average, with_profile, with_zscore
+from tallywright.operators.recurrence import weighted_volatility
+from tallywright.operators.robust import with_robust_score
 from tallywright.operators.rules import FraudRules
 from tallywright.operators.velocity import (
     with_previous_amounts,
@@ -20,7 +24,7 @@ from tallywright.operators.velocity import (
 from tallywright.plans.fraud import flag_transactions, fraud_reports, score_transactions
 from tallywright.plans.ingest import ingest_report, ingest_transactions
 from tallywright.plans.marts import build_gold
-from tallywright.session import fresh_folder, pin_time_zone, written
+from tallywright.session import fresh_folder, pin_time_zone, temporary_settings, written
 from tallywright.sources import (
     card_transactions_from_events,
     event_amount,
@@ -31,6 +35,7 @@ from tallywright.sources import (
 )
 from tallywright.schemas import TRANSACTIONS_BRONZE
 from tallywright.streaming import event_stream, ingest, ingest_table, run_windows, window_counts
+from tallywright.streaming.delivery import ingest_once, sweep_late
 from tallywright.streaming.jobs import BY_DATE_AND_BATCH
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +48,9 @@ VELOCITY_WINDOW = "1 hour"
 VELOCITY_LIMIT = 3
 AS_OF = "2024-01-15 00:00:00"
 WATERMARK = "1 day"
+BURST_GAP = "2 hours"
+REDELIVERY = "5 days"
+SLOT_WIDTH = 64
 
 
 def _raw(spark: SparkSession, sf: str) -> DataFrame:
@@ -148,6 +156,12 @@ def fraud_scored(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded_profile(out)
 
 
+def robust_outliers(spark: SparkSession, sf: str) -> DataFrame:
+    """Amounts measured against the customer's median and median deviation."""
+    slim = _valid(spark, sf).select("transaction_id", "customer_id", "amount")
+    return _rounded(with_robust_score(slim), 6, "median", "deviation", "robust_score")
+
+
 # --- reports ------------------------------------------------------------------
 
 
@@ -216,6 +230,12 @@ def velocity_flags(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def customer_bursts(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of a user that follow each other within the gap."""
+    events = read_table(spark, sf, "events")
+    return _plain_time(bursts(events, "user_id", "ts", "value", BURST_GAP, ["event_id"]), "start", "end")
+
+
 # --- transaction table and ingest -----------------------------------------------
 
 
@@ -316,6 +336,39 @@ def silver_clean(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def silver_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items in five batches, out of order, into a table that is kept up to date; returned
+    lines remove their key. Every batch is applied twice."""
+    lines = read_table(spark, sf, "lineitem").filter(F.col("l_quantity") > 0)
+    cleaned = lines.withColumn("l_shipdate", F.to_date("l_shipdate"))
+    path = fresh_folder(spark, "silver")
+    batch_of = F.pmod(F.dayofyear("l_shipdate"), F.lit(5))
+    others = [c for c in cleaned.columns if c not in ("l_orderkey", "l_linenumber", "l_shipdate")]
+    for batch in (3, 0, 4, 1, 2):
+        for _ in range(2):
+            changes.apply_changes(
+                path,
+                cleaned.filter(batch_of == batch),
+                ["l_orderkey", "l_linenumber"],
+                ["l_shipdate", *others],
+                deleted=F.col("l_returnflag") == "R",
+                buckets=16,
+            )
+    return changes.read_current(spark, path, cleaned.schema)
+
+
+def purchase_quotes(spark: SparkSession, sf: str) -> DataFrame:
+    """Every purchase with the newest click of its user no later than it."""
+    events = read_table(spark, sf, "events")
+    bought = events.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "ts", "value")
+    clicks = events.filter(F.col("event_type") == "click").select(
+        "user_id", F.col("ts").alias("click_ts"), F.col("event_id").alias("click_id"), F.col("value").alias("click_value")
+    )
+    return as_of_join(
+        bought, clicks, "user_id", "ts", "click_ts", ["click_id", "click_ts", "click_value"], ["click_id"]
+    )
+
+
 def daily_ohlc(spark: SparkSession, sf: str) -> DataFrame:
     return marts.bars(read_table(spark, sf, "events"), "event_type", "value", "ts", "event_id")
 
@@ -344,6 +397,26 @@ def daily_volatility(spark: SparkSession, sf: str) -> DataFrame:
     return _by_symbol(_rounded(out, 6, "period_return", "volatility"))
 
 
+def ewma_volatility(spark: SparkSession, sf: str) -> DataFrame:
+    """Exponentially weighted volatility of each symbol's daily close."""
+    out = weighted_volatility(marts.period_returns(_daily_closes(spark, sf)))
+    return _by_symbol(_rounded(out, 6, "period_return", "ewma_volatility"))
+
+
+def walk_forward(spark: SparkSession, sf: str) -> DataFrame:
+    """Each month's summed price forecast from the sector's earlier months, as parts of the price:
+    forecasts of prices in cents often lie halfway between two cents, where engines differ."""
+    out = marts.walk_forward(_monthly_prices(spark, sf))
+    parts = {c: F.round(F.col(c) / F.nullif(F.col("close"), F.lit(0.0)), 6) for c in ("forecast", "error")}
+    return out.withColumns(parts)
+
+
+def forecast_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Errors of forecasts by day, made from earlier days only."""
+    out = marts.forecast_errors(marts.walk_forward(_daily_closes(spark, sf), "day"))
+    return _by_symbol(_rounded(out, 4, "bias", "mean_absolute", "root_mean_square"))
+
+
 def daily_trend(spark: SparkSession, sf: str) -> DataFrame:
     out = marts.trend_forecast(_daily_closes(spark, sf), "day")
     return _by_symbol(_rounded(out, 2, "slope", "intercept", "forecast"))
@@ -474,6 +547,48 @@ def stream_bronze(spark: SparkSession, sf: str) -> DataFrame:
     return _comparable(_streamed_bronze(spark, sf))
 
 
+def stream_once(spark: SparkSession, sf: str) -> DataFrame:
+    """Three deliveries that repeat themselves, each followed by a restart, into the transaction
+    table. Sign-ups of the first days come only with the last one, too late to be told from
+    repeats; a sweep brings them in."""
+    events = read_table(spark, sf, "events")
+    folder = fresh_folder(spark, "deliveries")
+    target = _new_table(spark)
+    identifier = target["identifier"]
+    bronze.create_namespace(spark, "bronze", target["namespace_location"])
+    bronze.create_table(
+        spark, identifier, TRANSACTIONS_BRONZE, BY_DATE_AND_BATCH, location=target["location"]
+    )
+    created = F.lit(CREATED_AT).cast("timestamp")
+    to_rows = lambda rows: transactions_from_events(rows, BATCH_ID, created)
+    third = F.least(F.lit(2), F.floor((F.dayofmonth("ts") - 1) / 10))
+    kind = F.col("event_type")
+    late = (third == 0) & (kind == "signup")
+    progress = fresh_folder(spark, "once-progress")
+    for delivery in range(3):
+        own = events.filter((third == delivery) & ~late)
+        # The same batch twice over for some, the batch before once more, and what was held back.
+        again = events.filter((third == delivery) & (kind == "click"))
+        before = events.filter((third == delivery - 1) & (kind != "signup"))
+        parts = [own, again, before] + ([events.filter(late)] if delivery == 2 else [])
+        reduce(DataFrame.unionByName, parts).coalesce(2).write.mode("append").parquet(f"{folder}/events.parquet")
+        stream = event_stream(spark, folder, "events", events.schema, "ts", 1)
+        ingest_once(stream, ["event_id"], "ts", REDELIVERY, to_rows, identifier, progress)
+    delivered = spark.read.schema(events.schema).parquet(f"{folder}/events.parquet")
+    sweep_late(to_rows(delivered), identifier, ["transaction_id"], "late")
+    return _comparable(read_catalog_table(spark, identifier).drop("ingestion_batch_id"))
+
+
+def stream_bursts(spark: SparkSession, sf: str) -> DataFrame:
+    """Bursts that are over when the stream ends: those the watermark has passed."""
+    found = burst_windows(_event_stream(spark, sf), "user_id", "ts", "value", BURST_GAP, WATERMARK)
+    path = fresh_folder(spark, "bursts")
+    stores = spark.sparkContext.defaultParallelism
+    with temporary_settings(spark, {"spark.sql.shuffle.partitions": str(stores)}):
+        ingest(found, path, fresh_folder(spark, "bursts-progress"), [])
+    return _plain_time(spark.read.schema(found.schema).parquet(path), "start", "end")
+
+
 def reconcile_bronze(spark: SparkSession, sf: str) -> DataFrame:
     """The batch table against the streamed one: every transaction is equal."""
     batch = read_catalog_table(spark, _ingested(spark, sf)).drop("ingestion_batch_id")
@@ -511,6 +626,16 @@ def reconcile_rows(spark: SparkSession, sf: str) -> DataFrame:
     return _plain_time(reconcile.row_differences(batch, streamed), "timestamp")
 
 
+def reconcile_digest(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rows by digests: only slots of ids whose sums differ are read again."""
+    streamed = _ingested_stream(_card_stream(spark, sf), ["processing_date"])
+    batch = _valid(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    batch = written(batch.select(*[c for c in streamed.columns if c in batch.columns]), "batch")
+    streamed = streamed.select(*batch.columns)
+    trees = [digest.digest_tree(side, "transaction_id", SLOT_WIDTH) for side in (batch, streamed)]
+    return _plain_time(digest.digest_differences(batch, streamed, *trees), "timestamp")
+
+
 REGISTERED: tuple[Query, ...] = (
     load_transactions,
     load_text_feed,
@@ -522,6 +647,7 @@ REGISTERED: tuple[Query, ...] = (
     customer_profile,
     customer_profile_past,
     customer_zscore,
+    robust_outliers,
     fraud_flags,
     fraud_scored,
     fraud_summary,
@@ -533,6 +659,7 @@ REGISTERED: tuple[Query, ...] = (
     velocity_lag,
     velocity_rolling,
     velocity_flags,
+    customer_bursts,
     synth_transactions,
     synth_risk,
     bronze_write,
@@ -540,9 +667,12 @@ REGISTERED: tuple[Query, ...] = (
     bronze_overwrite,
     category_counts,
     silver_clean,
+    silver_incremental,
+    purchase_quotes,
     daily_ohlc,
     daily_returns,
     daily_volatility,
+    ewma_volatility,
     daily_trend,
     monthly_returns,
     silver_refused,
@@ -551,13 +681,18 @@ REGISTERED: tuple[Query, ...] = (
     asof_snapshot,
     dq_suite,
     trend_forecast,
+    walk_forward,
+    forecast_errors,
     stream_windows,
     stream_ingest,
     stream_bronze,
+    stream_once,
+    stream_bursts,
     reconcile_bronze,
     reconcile_windows,
     reconcile_gate,
     reconcile_rows,
+    reconcile_digest,
 )
 
 

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywright.operators import bronze, reconcile
+from tallywright.operators.bursts import burst_windows, bursts
 from tallywright.schemas import TRANSACTIONS_BRONZE
 from tallywright.sources import transactions_from_events
 from tallywright.streaming import event_stream, ingest, ingest_table, run_windows, window_counts
+from tallywright.streaming.delivery import ingest_once, once, sweep_late
 from tallywright.streaming.jobs import BY_DATE_AND_BATCH, parse_messages
 
 SCHEMA = "event_id long, ts timestamp_ntz, event_type string, value double"
@@ -133,3 +135,76 @@ def test_malformed_messages_keep_their_text(spark):
     )
     rows = [tuple(r) for r in parse_messages(messages, schema).collect()]
     assert rows == [(1, "a", None, "t", 0, 5), (None, None, "no json", "t", 1, 6)]
+
+
+def delivered(spark, folder, first, last, again=()):
+    rows = [events(spark, first, last), *[events(spark, a, b) for a, b in again]]
+    frame = rows[0]
+    for more in rows[1:]:
+        frame = frame.unionByName(more)
+    frame.withColumn("user_id", F.col("event_id")).coalesce(1).write.mode("append").parquet(str(folder / "events.parquet"))
+
+
+def test_redelivered_events_are_written_once(spark, folder, tmp_path):
+    """Repeats within a batch, of earlier batches, across restarts, and events behind the watermark."""
+    name = f"bronze_once.t_{uuid.uuid4().hex}"
+    bronze.create_namespace(spark, "bronze_once", str(tmp_path / "namespace"))
+    bronze.create_table(spark, name, TRANSACTIONS_BRONZE, BY_DATE_AND_BATCH, location=str(tmp_path / "table"))
+    schema = T.StructType([*events(spark, 0, 0).schema, T.StructField("user_id", T.LongType())])
+
+    def run():
+        stream = event_stream(spark, str(folder), "events", schema, "ts", 1)
+        ingest_once(stream, ["event_id"], "ts", "10 hours", transactions_from_events, name, str(tmp_path / "progress"), state_partitions=2)
+        table = spark.table(name)
+        return table.count(), table.select("transaction_id").distinct().count()
+
+    delivered(spark, folder, 50, 100, again=[(50, 70), (60, 65)])
+    delivered(spark, folder, 100, 150, again=[(90, 110)])
+    delivered(spark, folder, 150, 200, again=[(60, 150)])
+    assert run() == (150, 150)
+    # A restart; repeats from before it, and events so late that they cannot be told from repeats.
+    delivered(spark, folder, 200, 210, again=[(180, 200), (0, 50)])
+    assert run() == (160, 160)
+    assert run() == (160, 160)
+    source = spark.read.schema(schema).parquet(str(folder / "events.parquet")).withColumn("ts", F.col("ts").cast("timestamp"))
+    for _ in range(2):
+        sweep_late(transactions_from_events(source), name, ["transaction_id"], "late-1")
+        table = spark.table(name)
+        assert (table.count(), table.select("transaction_id").distinct().count()) == (210, 210)
+    batch = transactions_from_events(source.dropDuplicates(["event_id"]))
+    compared = ["transaction_id", "event_ts", "amount", "payload_hash"]
+    assert table.select(*compared).exceptAll(batch.select(*compared)).count() == 0
+
+
+def test_state_of_redelivery_expires(spark, folder, tmp_path):
+    schema = events(spark, 0, 0).schema
+    events(spark, 0, 50).write.mode("append").parquet(str(folder / "events.parquet"))
+    events(spark, 5_000, 5_010).write.mode("append").parquet(str(folder / "events.parquet"))
+    events(spark, 5_010, 5_011).write.mode("append").parquet(str(folder / "events.parquet"))
+    stream = once(event_stream(spark, str(folder), "events", schema, "ts", 1), ["event_id"], "ts", "1 day")
+    query = (
+        stream.writeStream.format("noop")
+        .option("checkpointLocation", str(tmp_path / "progress"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    held = [state["numRowsTotal"] for progress in query.recentProgress for state in progress["stateOperators"]]
+    assert max(held) >= 50 and held[-1] <= 11
+
+
+def test_bursts_of_a_stream_equal_the_batch_ones_that_are_over(spark, folder, tmp_path):
+    rows = [(i, START + timedelta(minutes=m), f"u{i % 3}", 1.0) for i, m in enumerate([0, 1, 2, 40, 41, 300, 301, 302, 3_000, 3_001])]
+    schema = "event_id long, ts timestamp_ntz, user_id string, value double"
+    for start in range(0, len(rows), 4):
+        spark.createDataFrame(rows[start : start + 4], schema).coalesce(1).write.mode("append").parquet(str(folder / "events.parquet"))
+    whole = spark.read.parquet(str(folder / "events.parquet"))
+    stream = event_stream(spark, str(folder), "events", whole.schema, "ts", 1)
+    found = burst_windows(stream, "user_id", "ts", "value", "30 minutes", "1 hour")
+    ingest(found, str(tmp_path / "out"), str(tmp_path / "progress"), [])
+    streamed = spark.read.schema(found.schema).parquet(str(tmp_path / "out"))
+    over = bursts(whole, "user_id", "ts", "value", "30 minutes").filter(
+        F.col("end") <= F.lit(START + timedelta(minutes=3_001 - 60)).cast("timestamp")
+    )
+    assert sorted(map(tuple, streamed.collect()), key=str) == sorted(map(tuple, over.collect()), key=str)
+    assert over.count() > 3
