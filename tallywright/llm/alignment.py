@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywright.llm.bpe import PATTERN, byte_of_char
-from tallywright.llm.common import written
+from tallywright.llm.common import tidy, written
 
 #: Links worked on at once; pairs a task holds before it hands them on; pairs of one broadcast.
 LINKS_AT_ONCE, PAIRS_HELD, PAIRS_A_PASS = 1_000_000, 2_000_000, 4_000_000
@@ -118,10 +118,13 @@ class Pair:
         first = [exact[i].ids if i in exact else self.quick.encode_ordinary(" " + t) for i, t in enumerate(texts)]
         for text, a, b in zip(texts, first, self.pieces.encode(texts, num_threads=1), strict=True):
             wanted = b" " + text.encode()
-            if text and b"".join(map(self.a_bytes.__getitem__, a)) == wanted == b"".join(map(self.b_bytes.__getitem__, b)):
-                out.append((np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)))
+            a_ids, b_ids = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+            # Byte-level tokens hold the bytes they were made from; their number is looked at all the same.
+            same = bool(text) and self.a_size[a_ids].sum() == len(wanted) == self.b_size[b_ids].sum()
+            if same and b"".join(map(self.b_bytes.__getitem__, b)) == wanted:
+                out.append((a_ids, b_ids))
             else:
-                out.append((np.zeros(0, np.int64), np.zeros(0, np.int64)))
+                out.append((a_ids[:0], b_ids[:0]))
         return out
 
 
@@ -141,12 +144,18 @@ class Groups:
 
 def groups_of(pair: Pair, a: np.ndarray, b: np.ndarray) -> Groups:
     """Groups end where a token of either kind ends at the same byte."""
+    if not len(a):
+        none = np.zeros(0, np.int64)
+        return Groups(none, none, none, none)
     a_ends, b_ends = np.cumsum(pair.a_size[a]), np.cumsum(pair.b_size[b])
-    shared = np.intersect1d(a_ends, b_ends)
-    a_last, b_last = np.searchsorted(a_ends, shared, "right"), np.searchsorted(b_ends, shared, "right")
+    # Both sides spell the same bytes, so one mark for each byte tells where the other side ends.
+    ends_b = np.zeros(b_ends[-1] + 1, dtype=bool)
+    ends_b[b_ends] = True
+    a_last = np.flatnonzero(ends_b[a_ends]) + 1
+    ends_b[:] = False
+    ends_b[a_ends] = True
+    b_last = np.flatnonzero(ends_b[b_ends]) + 1
     a_first, b_first = np.concatenate([[0], a_last[:-1]]), np.concatenate([[0], b_last[:-1]])
-    if not len(shared):
-        a_first = b_first = a_last = b_last = np.zeros(0, np.int64)
     return Groups(a_last - a_first, b_last - b_first, a_first, b_first)
 
 
@@ -231,7 +240,7 @@ class Met:
 
 
 #: One table for what a pass over the texts finds: rows of documents, and counts, which have a key.
-FIELDS = {"row": "long", "n_groups": "long", "n_links": "long", "groups_sha256": "string", "a": "binary", "b": "binary", "key": "long", "n": "long"}
+FIELDS = {"row": "long", "n_a": "long", "n_b": "long", "n_groups": "long", "n_links": "long", "groups_sha256": "string", "a": "binary", "b": "binary", "key": "long", "n": "long"}
 KINDS = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
 
 
@@ -271,7 +280,7 @@ def _find(spec, kind: str):
         for batch in batches:
             id_kind = batch.schema.field(0).type
             for rows, texts in _slices(batch):
-                n_groups, n_links, hashes, a_ids, b_ids = [], [], [], [], []
+                n_a, n_b, n_groups, n_links, hashes, a_ids, b_ids = [], [], [], [], [], [], []
                 for a, b in pair.encode(texts):
                     groups = groups_of(pair, a, b)
                     same = identical(pair, a, b, groups)
@@ -285,12 +294,15 @@ def _find(spec, kind: str):
                     met.add(keys[~known])
                     if met.full():
                         yield from _counted(*met.take(), id_kind)
+                    n_a.append(len(a))
+                    n_b.append(len(b))
                     n_groups.append(len(same))
                     n_links.append(groups.links)
                     hashes.append(hashlib.sha256(spelled(pair, a, b, groups).encode()).hexdigest() if len(a) else "")
                     a_ids.append(a.astype(kind).tobytes())
                     b_ids.append(b.astype(kind).tobytes())
                 columns = {"doc_id": rows.column(0), "row": rows.column(1), "n_groups": pa.array(n_groups, pa.int64())}
+                columns |= {"n_a": pa.array(n_a, pa.int64()), "n_b": pa.array(n_b, pa.int64())}
                 columns |= {"n_links": pa.array(n_links, pa.int64()), "groups_sha256": pa.array(hashes, pa.string())}
                 yield _table(columns | {"a": pa.array(a_ids, pa.binary()), "b": pa.array(b_ids, pa.binary())}, id_kind)
         if id_kind is not None:
@@ -382,7 +394,7 @@ def align(
     rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].cast("string").alias("text"))
     rows = rows.select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
     fields = {"doc_id": rows.schema["doc_id"].dataType.simpleString()} | FIELDS
-    found = written(rows.mapInArrow(_find(spec, kind), ", ".join(f"{n} {k}" for n, k in fields.items())), "aligned")
+    found = written(rows.mapInArrow(tidy(_find(spec, kind)), ", ".join(f"{n} {k}" for n, k in fields.items())), "aligned")
     counted = found.where(F.col("key").isNotNull()).groupBy("key").agg(F.sum("n").alias("n"))
     counted = written(counted, "aligned-pairs")
     first_id = F.floor(F.col("key") / F.lit(wide)).cast("int")
@@ -404,14 +416,13 @@ def align(
         narrow = np.uint32 if wide * size < 1 << 32 else np.int64
         some = Counts(vector, best, low, high, keys[order].astype(narrow), n[order].astype(np.uint32 if n.max(initial=0) < 1 << 32 else np.int64))
         shared = spark.sparkContext.broadcast(some)
-        one = ids.mapInArrow(_judge(spec, shared, kind, low == 0), "row long, n_best long, count_sum long")
+        one = ids.mapInArrow(tidy(_judge(spec, shared, kind, low == 0)), "row long, n_best long, count_sum long")
         judged = one if judged is None else judged.unionByName(one)
     judged = judged.groupBy(F.col("row").alias("j_row")).agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
-    bytes_each = int(kind[-1])
     out = found.where(F.col("key").isNull()).drop("key", "n").join(judged, F.col("row") == F.col("j_row")).select(
         "doc_id",
-        F.floor(F.length("a") / bytes_each).cast("long").alias("n_a"),
-        F.floor(F.length("b") / bytes_each).cast("long").alias("n_b"),
+        "n_a",
+        "n_b",
         "n_groups",
         "n_links",
         "n_best",
