@@ -94,8 +94,8 @@ def with_rolling_totals(
     Leaving rows are subtracted, so amounts must be exact. Decimals keep their own
     scale. Floating amounts that whole millionths hold, as money does, are summed in
     these; NaN and infinities are counted beside them. A customer with any other
-    amount is left to Spark's own frame, which only adds but is not split; whether
-    there are such customers is counted first, which runs a job.
+    amount is left to Spark's own frame, which only adds, in chunks if the customer is
+    hot; whether there are such customers is counted first, which runs a job.
     """
     if not _is_floating(df):
         return _running(df, window, policy, amounts=True)
@@ -110,24 +110,64 @@ def with_rolling_totals(
     if inexact.isEmpty():
         return _running(df, window, policy, amounts=True)
     met = same_key(F.col(KEY), F.col("_inexact_key"))
-    plain = _native(df.join(inexact, met, "left_semi"), window)
+    plain = _native(df.join(inexact, met, "left_semi"), window, policy)
     return _running(df.join(inexact, met, "left_anti"), window, policy, amounts=True).unionByName(plain)
 
 
-def _native(df: DataFrame, window: str) -> DataFrame:
-    """Spark's own RANGE frame, in microseconds because frames take no intervals here."""
+def _native(df: DataFrame, window: str, policy: SkewPolicy) -> DataFrame:
+    """Spark's own RANGE frame, in microseconds because frames take no intervals here.
+
+    A hot customer is cut into chunks along time, and each chunk is given the rows of the
+    others that its frames reach: those of one window before it, and those of its last
+    instant. They are counted in and then left out.
+    """
     moment = F.unix_micros(F.col("timestamp").cast("timestamp"))
     span = df.sparkSession.range(1).select(
         F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {window}"))
     )
-    w = W.partitionBy(KEY).orderBy("_micros").rangeBetween(-span.first()[0], 0)
-    return (
-        df.withColumn("_micros", moment)
-        .withColumns(
-            {"rolling_count": F.count(F.lit(1)).over(w), "rolling_amount": F.sum("amount").over(w)}
-        )
-        .drop("_micros")
+    span = span.first()[0]
+    laid = lay_out(df.withColumn("_micros", moment), KEY, ("_micros", "transaction_id"), policy)
+    rows = laid.rows.withColumn("_guest", F.lit(False))
+    if laid.split:
+        rows = rows.unionByName(_guests(laid, span, policy).withColumn("_guest", F.lit(True)))
+    w = W.partitionBy(KEY, "_chunk").orderBy("_micros").rangeBetween(-span, 0)
+    counted = rows.withColumns(
+        {"rolling_count": F.count(F.lit(1)).over(w), "rolling_amount": F.sum("amount").over(w)}
+    )
+    return counted.filter(~F.col("_guest")).select(*df.columns, "rolling_count", "rolling_amount")
+
+
+def _guests(laid: OrderedRows, span: int, policy: SkewPolicy) -> DataFrame:
+    """Rows of hot customers once more for each other chunk whose frames reach them."""
+    at = F.col("_micros")
+    bounds = written(
+        laid.hot.groupBy(KEY, "_chunk").agg(
+            F.min(at).alias("_first"), F.max(at).alias("_last"), F.count_if(at.isNull()).alias("_timeless")
+        ),
+        "frame-bounds",
+    )
+    by_chunk = W.partitionBy(KEY).orderBy("_chunk")
+    later, earlier = by_chunk.rowsBetween(1, W.unboundedFollowing), by_chunk.rowsBetween(W.unboundedPreceding, -1)
+    beside = bounds.select(
+        KEY, "_chunk", F.min("_first").over(later).alias("_next"), F.max("_last").over(earlier).alias("_before")
+    )
+    # Few rows lie so near a border; only these are held against the other chunks.
+    near = add_carry(laid.hot, beside, KEY, ["_next", "_before"], policy).filter(
+        at.isNull() | (at + span >= F.col("_next")) | (at <= F.col("_before"))
+    )
+    hosts = measured(
+        bounds.select(
+            F.col(KEY).alias("_host_key"), F.col("_chunk").alias("_host"), "_first", "_last", "_timeless"
+        ),
+        "frame-hosts",
+        policy,
+    )
+    reached = F.when(at.isNull(), F.col("_timeless") > 0).otherwise(
+        (at + span >= F.col("_first")) & (at <= F.col("_last"))
     )
+    met = same_key(F.col(KEY), F.col("_host_key")) & (F.col("_chunk") != F.col("_host")) & reached
+    guests = near.join(hosts, met).withColumn("_chunk", F.col("_host"))
+    return guests.select(*laid.hot.columns)
 
 
 def _running(df: DataFrame, window: str, policy: SkewPolicy, amounts: bool) -> DataFrame:

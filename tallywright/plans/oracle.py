@@ -261,6 +261,12 @@ SELECT processing_date,
        CASE WHEN processing_date >= DATE '2026-07-20' THEN 'batch-2' ELSE 'batch-1' END
          AS ingestion_batch_id, count(*) AS records, CAST(sum(amount) AS DOUBLE) AS amount
 FROM synthetic GROUP BY 1, 2""",
+    "cube_incremental": f"""
+WITH {SYNTHETIC}
+SELECT merchant_category, channel, count(*) AS records,
+       CAST(sum(CASE WHEN processing_date >= DATE '2026-07-20' THEN amount * 2 ELSE amount END) AS DOUBLE)
+         AS volume
+FROM synthetic GROUP BY merchant_category, channel""",
     "category_counts": f"""
 WITH {SYNTHETIC}
 SELECT merchant_category, count(*) AS records FROM synthetic GROUP BY merchant_category

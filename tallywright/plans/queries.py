@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tallywright.operators import bronze, changes, digest, marts, quality, reconcile, reports
 from tallywright.operators.asof import as_of_join
 from tallywright.operators.bursts import burst_windows, bursts
+from tallywright.operators.cube import IncrementalCube
 from tallywright.operators.profile import with_past_average, with_profile, with_zscore
 from tallywright.operators.recurrence import weighted_volatility
 from tallywright.operators.robust import with_robust_score
@@ -318,6 +319,17 @@ def bronze_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def cube_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Records and volume by category and channel, kept up to date while a second batch
+    replaces the later dates with doubled amounts; the totals are never computed anew."""
+    first = _transactions(spark, sf)
+    later = first.filter(F.col("processing_date") >= F.lit("2026-07-20").cast("date"))
+    cube = IncrementalCube(fresh_folder(spark, "cube"), "processing_date", ("merchant_category", "channel"))
+    cube.replace(0, first, "amount")
+    cube.replace(1, later.withColumn("amount", F.col("amount") * 2), "amount")
+    return cube.totals(spark, first.schema).withColumn("volume", F.col("volume").cast("double"))
+
+
 def category_counts(spark: SparkSession, sf: str) -> DataFrame:
     return ingest_report(read_catalog_table(spark, _ingested(spark, sf)))
 
@@ -665,6 +677,7 @@ REGISTERED: tuple[Query, ...] = (
     bronze_write,
     bronze_readback,
     bronze_overwrite,
+    cube_incremental,
     category_counts,
     silver_clean,
     silver_incremental,
