@@ -346,6 +346,9 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
             _unique("unique(l_orderkey,l_linenumber)", "lineitem", "l_orderkey, l_linenumber"),
         ]
     ),
+    "drift_sketches": """
+SELECT CAST(ts AS DATE) AS date, count(*) AS rows, count(DISTINCT user_id) AS different,
+       TRUE AS different_within, TRUE AS median_within FROM events GROUP BY 1""",
     "trend_forecast": f"""
 WITH {MONTHLY},
 points AS (

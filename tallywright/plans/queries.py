@@ -13,6 +13,7 @@ from tallywright.operators import bronze, changes, digest, marts, quality, recon
 from tallywright.operators.asof import as_of_join
 from tallywright.operators.bursts import burst_windows, bursts
 from tallywright.operators.cube import IncrementalCube
+from tallywright.operators.drift import against_exact, date_sketches
 from tallywright.operators.profile import with_past_average, with_profile, with_zscore
 from tallywright.operators.recurrence import weighted_volatility
 from tallywright.operators.robust import with_robust_score
@@ -490,6 +491,13 @@ def dq_suite(spark: SparkSession, sf: str) -> DataFrame:
     return customers.unionByName(orders).unionByName(lines)
 
 
+def drift_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Users and values of each day by stored sketches, held against exact counts."""
+    events, day = read_table(spark, sf, "events"), F.to_date("ts")
+    sketches = written(date_sketches(events, day, "user_id", "value"), "sketches")
+    return against_exact(sketches, events, day, "user_id", "value")
+
+
 def trend_forecast(spark: SparkSession, sf: str) -> DataFrame:
     out = marts.trend_forecast(_monthly_prices(spark, sf))
     return _rounded(out, 2, "slope", "intercept", "forecast")
@@ -693,6 +701,7 @@ REGISTERED: tuple[Query, ...] = (
     gold_volatility,
     asof_snapshot,
     dq_suite,
+    drift_sketches,
     trend_forecast,
     walk_forward,
     forecast_errors,
