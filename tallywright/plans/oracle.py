@@ -240,6 +240,10 @@ SELECT transaction_id, customer_id, amount, rolling_count, rolling_amount FROM r
     "velocity_flags": f"""
 WITH {ROLLING}
 SELECT transaction_id, customer_id, rolling_count, rolling_count >= 3 AS is_high_velocity
+FROM rolling""",
+    "stream_velocity": f"""
+WITH {ROLLING}
+SELECT transaction_id, customer_id, rolling_count, rolling_count >= 3 AS is_high_velocity
 FROM rolling""",
     "synth_transactions": SYNTHETIC_ROWS,
     "synth_risk": f"""

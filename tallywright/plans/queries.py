@@ -39,6 +39,7 @@ from tallywright.schemas import TRANSACTIONS_BRONZE
 from tallywright.streaming import event_stream, ingest, ingest_table, run_windows, window_counts
 from tallywright.streaming.delivery import ingest_once, sweep_late
 from tallywright.streaming.jobs import BY_DATE_AND_BATCH
+from tallywright.streaming.velocity import run_velocity, trailing_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -599,6 +600,15 @@ def stream_once(spark: SparkSession, sf: str) -> DataFrame:
     return _comparable(read_catalog_table(spark, identifier).drop("ingestion_batch_id"))
 
 
+def stream_velocity(spark: SparkSession, sf: str) -> DataFrame:
+    """Velocity flags of accepted transactions as they arrive; after the end, those of the batch."""
+    stream = quality.accepted(_card_stream(spark, sf))
+    counted = trailing_counts(
+        stream, "customer_id", "timestamp", "transaction_id", VELOCITY_WINDOW, WATERMARK
+    )
+    return run_velocity(counted, "customer_id", "transaction_id", VELOCITY_LIMIT)
+
+
 def stream_bursts(spark: SparkSession, sf: str) -> DataFrame:
     """Bursts that are over when the stream ends: those the watermark has passed."""
     found = burst_windows(_event_stream(spark, sf), "user_id", "ts", "value", BURST_GAP, WATERMARK)
@@ -709,6 +719,7 @@ REGISTERED: tuple[Query, ...] = (
     stream_ingest,
     stream_bronze,
     stream_once,
+    stream_velocity,
     stream_bursts,
     reconcile_bronze,
     reconcile_windows,
