@@ -11,9 +11,11 @@ from pyspark.sql import types as T
 from tallywright.functions import to_event_time
 from tallywright.functions.money import exact_sum
 from tallywright.operators.bronze import COMPRESSION, overwrite_partitions
-from tallywright.session import fresh_folder, temporary_settings
+from tallywright.session import _path, fresh_folder, temporary_settings
 
 MAX_FILES_PER_BATCH = 1_000
+#: Versions of windows that may lie beside each other, and the two places of what was merged.
+MAX_VERSIONS, BASES = 64, (-1, -2)
 BY_DATE_AND_BATCH = ("processing_date", "ingestion_batch_id")
 
 
@@ -120,28 +122,64 @@ def ingest_table(
     stream.sparkSession.catalog.refreshTable(identifier)
 
 
+def _latest(versions: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    newest = [F.max_by(F.struct(*measures), "batch_id").alias("_newest")]
+    return versions.groupBy("window_start", *keys).agg(*newest).select("window_start", *keys, "_newest.*")
+
+
+def compact_windows(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> None:
+    """Merge all versions of windows below ``path`` into one folder.
+
+    The merged table goes into whichever of two places is free. Only when it is whole does the
+    older one go, and then the versions that it holds; until then these hide both, so a
+    driver may be lost at any point.
+    """
+    files, folder = _path(spark, path)
+
+    def place(batch_id: int):
+        return _path(spark, f"{path}/batch_id={batch_id}")[1]
+
+    def whole(batch_id: int) -> bool:
+        return files.exists(_path(spark, f"{path}/batch_id={batch_id}/_SUCCESS")[1])
+
+    names = (status.getPath().getName() for status in files.listStatus(folder))
+    versions = sorted(int(n.partition("=")[2]) for n in names if n.startswith("batch_id=") and "=-" not in n)
+    free = next((b for b in BASES if not whole(b)), BASES[1])
+    merged = _latest(_versions(spark, path, schema), keys, [c for c in schema.names if c not in ("window_start", *keys)])
+    aside = fresh_folder(spark, "merged-windows")
+    merged.select(*schema.names).write.parquet(aside)
+    spark.read.schema(schema).parquet(aside).write.mode("overwrite").parquet(f"{path}/batch_id={free}")
+    for older in (*(b for b in BASES if b != free), *versions):
+        files.delete(place(older), True)
+
+
+def _versions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(T.StructType([*schema, T.StructField("batch_id", T.LongType())])).parquet(path)
+
+
 def run_windows(
     counted: DataFrame,
     keys: Sequence[str],
     path: str | None = None,
     checkpoint: str | None = None,
     state_partitions: int | None = None,
+    max_versions: int = MAX_VERSIONS,
 ) -> DataFrame:
     """Run a windowed count to the end of its input; the latest count per window.
 
     Update mode emits only the windows a batch changed, open ones included, and
     keeps state only behind the watermark. Each batch replaces its own folder, so
-    a repeated batch has no further effect. State has one store per shuffle
-    partition, which adaptive execution does not merge; by default there are as
-    many as the cluster has cores.
+    a repeated batch has no further effect; beyond ``max_versions`` they are merged
+    into one. State has one store per shuffle partition, which adaptive execution
+    does not merge; by default there are as many as the cluster has cores.
     """
     spark = counted.sparkSession
     stores = state_partitions or spark.sparkContext.defaultParallelism
     path = path or fresh_folder(spark, "windows")
     checkpoint = checkpoint or fresh_folder(spark, "windows-progress")
-    spark.createDataFrame([], counted.schema).write.mode("overwrite").parquet(
-        f"{path}/batch_id=-1"
-    )
+    files, folder = _path(spark, path)
+    if not files.exists(folder):
+        spark.createDataFrame([], counted.schema).write.parquet(f"{path}/batch_id={BASES[0]}")
 
     def write_version(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
@@ -155,11 +193,7 @@ def run_windows(
     with temporary_settings(spark, {"spark.sql.shuffle.partitions": str(stores)}):
         query = writer.start()
     query.awaitTermination()
-    schema = T.StructType([*counted.schema, T.StructField("batch_id", T.LongType())])
+    if len(files.listStatus(folder)) > max_versions + 1:
+        compact_windows(spark, path, counted.schema, keys)
     measures = [c for c in counted.columns if c not in ("window_start", *keys)]
-    return (
-        spark.read.schema(schema)
-        .parquet(path)
-        .groupBy("window_start", *keys)
-        .agg(*[F.max_by(m, "batch_id").alias(m) for m in measures])
-    )
+    return _latest(_versions(spark, path, counted.schema), keys, measures)

@@ -208,3 +208,20 @@ def test_bursts_of_a_stream_equal_the_batch_ones_that_are_over(spark, folder, tm
     )
     assert sorted(map(tuple, streamed.collect()), key=str) == sorted(map(tuple, over.collect()), key=str)
     assert over.count() > 3
+
+
+def test_versions_of_windows_are_merged(spark, folder, tmp_path):
+    """After every run; a place that was left half written by a lost driver is used again."""
+    path = str(folder / "events.parquet")
+    out = tmp_path / "out"
+    for run, first in enumerate(range(0, 160, 40)):
+        for start in (first, first + 20):
+            events(spark, start, start + 20).write.mode("append").parquet(path)
+        if run == 2:  # a driver was lost after it had merged, before it removed the older table
+            other = next(p for p in (out / "batch_id=-1", out / "batch_id=-2") if not p.exists())
+            other.mkdir()
+        counted = windows(stream_of(spark, folder), watermark="1 day")
+        streamed = run_windows(counted, ["event_type"], str(out), f"{tmp_path}/progress", max_versions=1)
+        batch = windows(spark.read.parquet(path))
+        assert reconcile.differences(batch, streamed, ["window_start", "event_type"], ["events", "total"]).count() == 0
+        assert len(list(out.glob("batch_id=*"))) == 1
