@@ -65,6 +65,41 @@ def test_a_late_version_does_not_bring_a_key_back(spark, tmp_path):
     assert read_current(spark, path, frame.schema).count() == 0
 
 
+def test_batches_are_not_rewritten_until_buckets_are_crowded(spark, tmp_path):
+    path = tmp_path / "silver"
+    rows = history(4)
+    files = lambda: {f: f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+    apply = lambda frame: apply_changes(str(path), frame, ["id", "part"], ["version"], F.col("gone"), 2, max_batches=3)
+    batches = [spark.createDataFrame(rows[start::5], COLUMNS) for start in range(5)]
+    for batch in batches[:3]:
+        before = files()
+        assert apply(batch) == [0, 1]
+        after = files()
+        assert before.items() < after.items()
+        assert apply(batch) == [] and files() == after
+    for batch in batches[3:]:
+        apply(batch)
+    assert len(list(path.glob("_batch=*/_bucket=0"))) == 2
+    assert apply(batches[0]) == []
+    whole = spark.createDataFrame(rows, COLUMNS)
+    assert as_rows(read_current(spark, str(path), whole.schema)) == as_rows(full_build(whole))
+
+
+def test_batches_that_differ_in_where_a_null_stands_are_both_applied(spark, tmp_path):
+    path, columns = str(tmp_path / "silver"), "id long, version long, one string, two string"
+    first = spark.createDataFrame([(1, 1, "x", None), (2, 1, "y", None)], columns)
+    second = spark.createDataFrame([(1, 1, "x", None), (2, 1, None, "y")], columns)
+    assert apply_changes(path, first, ["id"], ["version"], buckets=2)
+    assert apply_changes(path, second, ["id"], ["version"], buckets=2)
+    assert [tuple(r) for r in read_current(spark, path, first.schema).orderBy("id").collect()] == [(1, 1, "x", None), (2, 1, "y", None)]
+
+
+def test_a_table_without_batches_is_empty(spark, tmp_path):
+    frame = spark.createDataFrame([(None, 1)], "id long, version long")
+    assert apply_changes(str(tmp_path / "silver"), frame, ["id"], ["version"]) == []
+    assert read_current(spark, str(tmp_path / "silver"), frame.schema).count() == 0
+
+
 # --- digests ----------------------------------------------------------------------------
 
 
