@@ -336,3 +336,47 @@ def test_toxicity_of_awkward_rows(spark, docs, nothing):
     unknown = toxicity.learn(nothing, labels)
     assert {r["score"] for r in toxicity.score_documents(docs, unknown).collect()} == {0.5}
     assert toxicity.score_documents(nothing, unknown).count() == 0
+
+
+def test_all_labelled_rows_teach(spark, monkeypatch):
+    """A word that only the last of very many ordinary rows have, each behind another word, is counted."""
+    monkeypatch.setattr(toxicity, "CURVE_FOLD", 1 << 40)
+    monkeypatch.setattr(toxicity, "PAIRS_AT_ONCE", 5_000)
+    rows = [(i, f"c{i} lateword plain", i < 6_000) for i in range(24_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, bad boolean")
+    model = toxicity.learn(frame, frame.select("doc_id", F.col("bad").cast("int").alias("toxic")))
+    names = toxicity.Names()
+    found = model.word_ratios(np.array([names[w] for w in ("lateword", "plain")], np.uint64))
+    # Every row has a word of its own behind the start, then "lateword"; "plain" has one context.
+    shared = (24_000 - 0.75 + 0.75 * 24_002 / 24_003) / 48_001
+    logs = []
+    for n in (6_000, 18_000):
+        held, total = 1.5 * math.sqrt(n), 2 * n + 1
+        logs.append(math.log((n - held) / total + (n + held + 1) / total * shared))
+    assert math.isclose(found[0], logs[0] - logs[1], rel_tol=1e-9)
+    # Met behind one word only, so no class keeps a part of it.
+    assert found[1] == model.rest
+
+
+def test_the_curve_is_fitted_over_all_rows_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "CURVE_ROWS_A_TASK", 100)
+    rng = np.random.RandomState(2)
+    toxic = rng.rand(700) < 0.3
+    evidence = rng.randn(700, len(toxicity.PASSAGES) + 1) + toxic[:, None]
+    target = np.where(toxic, (toxic.sum() + 1) / (toxic.sum() + 2), 1 / ((~toxic).sum() + 2))
+    alone = toxicity.fit_curve(lambda w: toxicity.curve_sums(evidence, target, w), evidence.shape[1] + 1)
+    held = spark.createDataFrame(list(zip(toxic.tolist(), evidence.tolist(), strict=True)), "toxic boolean, evidence array<double>")
+    assert np.allclose(toxicity._fitted(held.repartition(7)), alone, atol=1e-6)
+
+
+def test_more_telling_words_than_the_bound(spark):
+    frame = spark.createDataFrame([(w, 3 + w % 40, 3 + w % 7, 6 + w % 47) for w in range(5_000)], "word long, t long, o long, both long")
+    totals = [(90_000.0, 0.3), (60_000.0, 0.4)]
+    whole, some = (toxicity._telling(frame, totals, 200_000, 9_000, n).toArrow() for n in (5_000, 1_000))
+    made = []
+    for kept in (whole, some):
+        word, t, o, both = (kept[c].to_numpy() for c in ("word", "t", "o", "both"))
+        made.append(toxicity.word_table(word.view(np.uint64), (t, o), both, totals, 200_000, 9_000, 1_000))
+    assert whole.num_rows == 5_000 and some.num_rows < 5_000 and len(made[1].hashes) == 1_000
+    far = [np.sort(np.abs(m.ratios - m.rest)) for m in made]
+    assert np.allclose(far[0], far[1], rtol=1e-12)
