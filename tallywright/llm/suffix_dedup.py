@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywright.llm.common import written
+from tallywright.llm.common import tidy, written
 from tallywright.llm.suffix_sort import suffix_arrays
 
 LENGTH, PIECE = 200, 51
@@ -170,7 +170,7 @@ def _intervals_of(rows: DataFrame, length: int, piece: int) -> DataFrame:
                 )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"anchor long, content long, doc_id {kind}, row_key long, start int, n int")
+    return rows.mapInArrow(tidy(run, _tables.cache_clear), f"anchor long, content long, doc_id {kind}, row_key long, start int, n int")
 
 
 def _with_bytes(wanted: DataFrame, rows: DataFrame, length: int) -> DataFrame:
@@ -194,7 +194,7 @@ def _with_bytes(wanted: DataFrame, rows: DataFrame, length: int) -> DataFrame:
                     ["anchor", "content", "hot", "body"],
                 )
 
-    return joined.select("body", "parts").mapInArrow(run, "anchor long, content long, hot boolean, body binary")
+    return joined.select("body", "parts").mapInArrow(tidy(run), "anchor long, content long, hot boolean, body binary")
 
 
 def _sorted_marks(bodies: DataFrame, length: int) -> DataFrame:
@@ -239,7 +239,7 @@ def _sorted_marks(bodies: DataFrame, length: int) -> DataFrame:
         if groups:
             yield flush()
 
-    return dealt.select("anchor", "content", "body").mapInArrow(run, "anchor long, content long, runs array<int>")
+    return dealt.select("anchor", "content", "body").mapInArrow(tidy(run), "anchor long, content long, runs array<int>")
 
 
 def _counted_marks(bodies: DataFrame, length: int) -> DataFrame:
@@ -266,7 +266,7 @@ def _counted_marks(bodies: DataFrame, length: int) -> DataFrame:
                 )
 
     strings = bodies.select("anchor", "content", "body").distinct()
-    strings = written(strings.mapInArrow(run, "anchor long, content long, at int, one long, two long"), "repeat-strings")
+    strings = written(strings.mapInArrow(tidy(run, _tables.cache_clear), "anchor long, content long, at int, one long, two long"), "repeat-strings")
     again = strings.groupBy("one", "two").count().where("count > 1").select(F.col("one").alias("x"), F.col("two").alias("y"))
     hits = strings.join(again, (F.col("one") == F.col("x")) & (F.col("two") == F.col("y")), "left_semi")
     runs = F.flatten(F.collect_list(F.array("at", (F.col("at") + 1).cast("int"))))
@@ -337,7 +337,7 @@ def repeated_spans(
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return joined.select("doc_id", "body", "marks").mapInArrow(
-        run, f"doc_id {kind}, n_bytes long, spans array<struct<begin: long, end: long>>, kept binary"
+        tidy(run), f"doc_id {kind}, n_bytes long, spans array<struct<begin: long, end: long>>, kept binary"
     )
 
 

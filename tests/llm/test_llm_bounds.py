@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tallywright.llm import bpe, language_id, minhash, mixing, quality, secrets
-from tallywright.llm.common import drawn
+from tallywright.llm import bpe, language_id, minhash, mixing, quality, secrets, suffix_dedup
+from tallywright.llm.common import drawn, tidy
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -254,3 +254,13 @@ def test_pipeline_of_awkward_tables(spark, tmp_path, kind):
     assert {r["decoded"] for r in rows} <= set(base) and rows
     for row in rows:
         assert np.frombuffer(row["ids"], "<u4").tolist() == library.encode(row["decoded"], add_special_tokens=False).ids
+
+
+def test_workers_of_suffix_dedup_give_memory_back(spark, monkeypatch):
+    wrapped = []
+    monkeypatch.setattr(suffix_dedup, "tidy", lambda run, *forget: wrapped.append(run) or tidy(run, *forget))
+    text = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(260))
+    rows = spark.createDataFrame([(1, text), (2, "x" + text)], "doc_id long, text string")
+    found = suffix_dedup.repeated_spans(rows).collect()
+    assert sum(len(r["kept"]) for r in found) == 1
+    assert len(wrapped) == 5
