@@ -380,3 +380,33 @@ def test_more_telling_words_than_the_bound(spark):
     assert whole.num_rows == 5_000 and some.num_rows < 5_000 and len(made[1].hashes) == 1_000
     far = [np.sort(np.abs(m.ratios - m.rest)) for m in made]
     assert np.allclose(far[0], far[1], rtol=1e-12)
+
+
+def test_words_beyond_two_million_keep_their_ratios():
+    n = 2_100_000
+    hashes = np.arange(1, n + 1, dtype=np.uint64)
+    t, o = np.full(n, 9), np.full(n, 4)
+    t[-3:], both = 5, np.full(n, 13)
+    model = toxicity.word_table(hashes, (t, o), both, [(9.0 * n, 0.3), (4.0 * n, 0.4)], 13 * n, n)
+    assert len(model.hashes) == n
+    own = model.word_ratios(hashes[[0, -1]])
+    shared = (13 - 0.75 + 0.75 * n / (n + 1)) / (13 * n)
+    ordinary = math.log((4 - 1.5 * 2) / (4 * n) + 0.4 * shared)
+    for ratio, met in zip(own, (9, 5), strict=True):
+        toxic = math.log((met - 1.5 * math.sqrt(met)) / (9 * n) + 0.3 * shared)
+        assert math.isclose(ratio, toxic - ordinary, rel_tol=1e-9)
+
+
+def test_telling_words_reach_the_driver_in_parts(spark, monkeypatch):
+    rng = np.random.RandomState(4)
+    words = np.unique(rng.randint(-(1 << 63), (1 << 63) - 1, 3_000, dtype=np.int64)).tolist()
+    frame = spark.createDataFrame([(w, i % 40, i % 7, i % 40 + i % 7) for i, w in enumerate(words)], "word long, t long, o long, both long")
+    terms = [(90_000.0, 0.3), (60_000.0, 0.4)], 200_000, 9_000
+    kept = toxicity._telling(frame, *terms)
+    assert kept.count() == sum(max(i % 40, i % 7) >= 3 for i in range(len(words)))
+    whole = toxicity._collected(kept, *terms)
+    monkeypatch.setattr(toxicity, "WORDS_A_JOB", 200)
+    parts, some = toxicity._collected(kept, *terms), toxicity._collected(kept, *terms, 1_000)
+    assert len(whole.hashes) == kept.count() and (np.diff(parts.hashes) > 0).all()
+    assert (parts.hashes == whole.hashes).all() and (parts.ratios == whole.ratios).all() and parts.rest == whole.rest
+    assert len(some.hashes) == 1_000 and np.isin(some.hashes, whole.hashes).all()
