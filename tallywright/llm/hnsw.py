@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import pickle
+from collections.abc import Iterator
 
 import numpy as np
 
 LINKS, BATCH, BUILD_BEAM, AT_ONCE, EXPANDED = 24, 256, 32, 256, 3
+#: Vectors that some queries are compared with at once.
+COMPARED = 8_192
 #: Arcs a node may get on top of its links for each reason to lead to nodes nothing leads to.
 EXTRA = 8
 
@@ -32,12 +34,12 @@ class Graph:
         for size in self.sizes:
             self._build(size)
 
-    def dump(self) -> bytes:
-        return pickle.dumps(self, protocol=5)
+    def __getstate__(self) -> dict:
+        return {name: value for name, value in self.__dict__.items() if name != "near"}
 
-    @staticmethod
-    def load(data: bytes) -> Graph:
-        return pickle.loads(data)
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.near = self.vectors.astype(np.float32)
 
     def _build(self, size: int) -> None:
         links = np.full((size, LINKS), -1, dtype=np.int32)
@@ -218,27 +220,36 @@ class Graph:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return np.concatenate([q for q, _ in out]), np.concatenate([i for _, i in out])
 
-    def links(self, queries: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """``(query, place)`` pairs found whose cosine in double precision is at least ``least``.
+    def compared(self, queries: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All ``(query, place)`` pairs whose cosine is at least ``least``, in parts."""
+        for at in range(0, len(self.vectors), COMPARED):
+            q, i = np.nonzero(queries @ self.vectors[at : at + COMPARED].T >= least)
+            yield q, i + at
+
+    def pairs(self, queries: np.ndarray, least: float, beam: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``(query, place)`` pairs found whose cosine in double precision is at least ``least``, in parts.
 
         The beam is doubled for queries that fill it with pairs; one that would look at as
         many vectors as there are is a comparison with everything.
         """
-        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         for at in range(0, len(queries), AT_ONCE):
             left, width = np.arange(at, min(at + AT_ONCE, len(queries))), beam
             while len(left):
                 if width * LINKS >= len(self.vectors):
-                    q, i = np.nonzero(queries[left] @ self.vectors.T >= least)
-                    out.append((left[q], i))
+                    for q, i in self.compared(queries[left], least):
+                        yield left[q], i
                     break
                 q, i = self.search(queries[left], width)
                 good = np.einsum("kd,kd->k", queries[left[q]], self.vectors[i]) >= least
                 q, i = q[good], i[good]
                 full = np.bincount(q, minlength=len(left)) >= width
-                out.append((left[q[~full[q]]], i[~full[q]]))
+                yield left[q[~full[q]]], i[~full[q]]
                 left = left[full]
                 width *= 2
+
+    def links(self, queries: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """All :meth:`pairs`."""
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64)), *self.pairs(queries, least, beam)]
         return np.concatenate([q for q, _ in out]), np.concatenate([i for _, i in out])
 
     def audit(self, queries: np.ndarray, names: np.ndarray, nodes: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -249,15 +260,16 @@ class Graph:
         """
         truth, steps = np.zeros(len(queries), np.int64), []
         for at in range(0, len(queries), AT_ONCE):
-            q, i = np.nonzero(queries[at : at + AT_ONCE] @ self.vectors.T >= least)
-            truth += np.bincount(q[names[at + q] != nodes[i]] + at, minlength=len(queries))
+            for q, i in self.compared(queries[at : at + AT_ONCE], least):
+                truth += np.bincount(q[names[at + q] != nodes[i]] + at, minlength=len(queries))
         short = np.flatnonzero(truth)
         while len(short) and beam * LINKS < len(self.vectors):
             missed = np.zeros(len(queries), np.int64)
             for at in range(0, len(short), AT_ONCE):
                 some = short[at : at + AT_ONCE]
-                q, i = self.links(queries[some], least, beam)
-                found = np.bincount(q[names[some[q]] != nodes[i]], minlength=len(some))
+                found = np.zeros(len(some), np.int64)
+                for q, i in self.pairs(queries[some], least, beam):
+                    found += np.bincount(q[names[some[q]] != nodes[i]], minlength=len(some))
                 missed[some] = np.maximum(0, truth[some] - found)
             steps.append(missed)
             short = np.flatnonzero(missed)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import importlib.util
 import random
 
@@ -14,6 +15,7 @@ import corpus_pipeline
 from tallywright.llm import embedding_dedup, language_id, quality, queries, secrets
 from tallywright.llm.common import components, table
 from tallywright.llm.hnsw import Graph
+from tallywright.session import shared_folder
 
 
 @pytest.fixture(scope="module")
@@ -74,6 +76,45 @@ def test_vectors_against_brute_force(spark):
     assert empty.count() == 0
 
 
+def test_graphs_are_written_once_in_small_parts(spark, monkeypatch):
+    """What a JVM holds at once does not grow with a shard; several rounds of shards find what one would."""
+    monkeypatch.setattr(embedding_dedup, "CHUNK_BYTES", 4_096, raising=False)
+    vectors = dict(enumerate(clusters(5)))
+    short = {1000 + i: v[:7] for i, v in vectors.items() if i < 90}
+    rows = [(i, [float(x) for x in v]) for i, v in (vectors | short).items()]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    before = set(glob.glob(f"{shared_folder(spark)}/vector-graphs-*"))
+    found = embedding_dedup.near_vectors(frame, min_shards=1, shard_rows=150, block_rows=64).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found} == brute(vectors) | brute(short)
+    (folder,) = set(glob.glob(f"{shared_folder(spark)}/vector-graphs-*")) - before
+    graphs = spark.read.parquet(folder)
+    data = [name for name, kind in graphs.dtypes if kind == "binary"]
+    sizes = graphs.select(*[F.max(F.length(name)).alias(name) for name in data]).first()
+    assert data and max(sizes) <= 4_096
+    # Whole graphs have more bytes than their vectors, and no part is there twice.
+    assert graphs.agg(F.sum(F.length(data[0]))).first()[0] > 8 * sum(map(len, [*vectors.values(), *short.values()]))
+    assert graphs.select("dims", "shard", "part").distinct().count() == graphs.count()
+
+
+def test_pairs_of_a_dense_group_come_in_parts():
+    rng = np.random.RandomState(6)
+    rows = rng.randn(12) + 0.01 * rng.randn(9_000, 12)
+    graph = Graph(rows / np.linalg.norm(rows, axis=1, keepdims=True))
+    sizes = [len(q) for q, _ in graph.pairs(graph.vectors[:300], 0.95, 400)]
+    assert sum(sizes) == 300 * 9_000 and max(sizes) <= 256 * 8_192
+
+
+def test_trees_grow_edge_by_edge():
+    rng = np.random.RandomState(8)
+    root, union = np.arange(500), Union()
+    for _ in range(12):
+        one, two = rng.randint(0, 500, (2, 30))
+        embedding_dedup._join(root, one, two)
+        for a, b in zip(one.tolist(), two.tolist(), strict=True):
+            union.join(a, b)
+        assert root.tolist() == [union.find(i) for i in range(500)]
+
+
 def test_graph_recall():
     rows = clusters(2)
     rows /= np.linalg.norm(rows, axis=1, keepdims=True)
